@@ -1,0 +1,162 @@
+"""Each gate with a passing and a failing frame."""
+
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark import schemas
+from tidemark.operators import quality, tables
+
+D1, D2 = date(2026, 7, 19), date(2026, 7, 20)
+
+
+def at(day, hour=8):
+    return f"{day}T{hour:02d}:00:00+00:00"
+
+
+def records(spark, lines=5, stations=100, forecasts=1, severity=10, bikes=1, docks=1, band="Low", day=D1):
+    """Flat records of one snapshot; the given value goes into one record each."""
+    line = [(at(day), f"l{i}", severity if i == 0 else 10) for i in range(lines)]
+    bike = [(at(day), f"B_{i}", bikes if i == 0 else 1, -1, docks if i == 0 else 1) for i in range(stations)]
+    air = [(at(day), band if i == 0 else "Low") for i in range(forecasts)]
+    return {
+        schemas.LINE_STATUS: spark.createDataFrame(line, "extracted_at string, line_id string, status_severity int"),
+        schemas.BIKE_POINTS: spark.createDataFrame(
+            bike, "extracted_at string, bike_point_id string, nb_bikes int, nb_empty_docks int, nb_docks int"
+        ),
+        schemas.AIR_QUALITY: spark.createDataFrame(air, "extracted_at string, forecast_band string"),
+    }
+
+
+def failing(metrics):
+    return {r.dataset for r in metrics.where("not passed").collect()}
+
+
+def test_good_snapshot_passes(spark):
+    # A negative number of empty docks is not a violation.
+    metrics = quality.raw_metrics(records(spark), [D1])
+    quality.assert_valid(metrics)
+    rows = {r.dataset: (r.extracted_date, r.snapshots, r.records, r.short_snapshots, r.violations) for r in metrics.collect()}
+    assert rows == {"line_status": (D1, 1, 5, 0, 0), "bike_points": (D1, 1, 100, 0, 0), "air_quality": (D1, 1, 1, 0, 0)}
+
+
+@pytest.mark.parametrize(
+    ("change", "dataset"),
+    [
+        ({"lines": 4}, "line_status"),
+        ({"severity": -1}, "line_status"),
+        ({"severity": 21}, "line_status"),
+        ({"severity": None}, "line_status"),
+        ({"stations": 99}, "bike_points"),
+        ({"bikes": -1}, "bike_points"),
+        ({"docks": -1}, "bike_points"),
+        ({"forecasts": 0}, "air_quality"),
+        ({"band": "Extreme"}, "air_quality"),
+        ({"band": " Low"}, "air_quality"),
+        ({"band": ""}, "air_quality"),
+        ({"band": None}, "air_quality"),
+    ],
+)
+def test_bad_snapshot_fails_its_gate(spark, change, dataset):
+    metrics = quality.raw_metrics(records(spark, **change), [D1])
+    assert failing(metrics) == {dataset}
+    with pytest.raises(quality.QualityError, match=f"dataset={dataset}"):
+        quality.assert_valid(metrics)
+
+
+@pytest.mark.parametrize("change", [{"severity": 0}, {"severity": 20}, {"bikes": 0, "docks": 0}, {"band": "Very High"}])
+def test_limits_are_inclusive(spark, change):
+    quality.assert_valid(quality.raw_metrics(records(spark, **change), [D1]))
+
+
+def test_all_failures_are_named(spark):
+    metrics = quality.raw_metrics(records(spark, lines=1, bikes=-1, band="x"), [D1, D2])
+    with pytest.raises(quality.QualityError) as error:
+        quality.assert_valid(metrics)
+    assert str(error.value).count("dataset=") == 6
+    assert "extracted_date=2026-07-20, snapshots=0" in str(error.value)
+
+
+def test_one_short_snapshot_fails_a_day_with_a_full_one(spark):
+    frames = records(spark)
+    extra = spark.createDataFrame([(at(D1, 9), "l", 10)], frames["line_status"].schema)
+    frames["line_status"] = frames["line_status"].union(extra)
+    row = quality.raw_metrics(frames, [D1]).where("dataset = 'line_status'").first()
+    assert (row.snapshots, row.records, row.short_snapshots, row.passed) == (2, 6, 1, False)
+
+
+def test_empty_snapshot_is_counted_when_kept(spark):
+    frames = {name: df.withColumn("is_record", F.lit(True)) for name, df in records(spark).items()}
+    empty = spark.createDataFrame([(at(D1, 9), "", False)], frames["air_quality"].schema)
+    frames["air_quality"] = frames["air_quality"].union(empty)
+    metrics = quality.raw_metrics(frames, [D1])
+    assert failing(metrics) == {"air_quality"}
+    row = metrics.where("dataset = 'air_quality'").first()
+    # The blank band of the marker row is not a violation of its own.
+    assert (row.snapshots, row.records, row.short_snapshots, row.violations) == (2, 1, 1, 0)
+
+
+def test_assert_not_empty(spark):
+    quality.assert_not_empty({"a": spark.range(1)})
+    with pytest.raises(quality.QualityError, match="no rows in b, c"):
+        quality.assert_not_empty({"a": spark.range(1), "b": spark.range(0), "c": spark.range(0)})
+
+
+# --- after loading -------------------------------------------------------------
+
+
+def fill(spark, database, table, rows, day):
+    """That many copies of one row, of whatever content fits the schema."""
+    values = {"string": F.lit("x"), "int": F.lit(1), "double": F.lit(1.0), "boolean": F.lit(True),
+              "timestamp": F.lit(day).cast("timestamp"), "date": F.lit(day)}
+    df = spark.range(rows).select(*(values[f.dataType.simpleString()].alias(f.name) for f in table.schema))
+    tables.load_table(df, database, table, [day])
+
+
+@pytest.fixture
+def loaded(spark, database, tmp_path):
+    tables.ensure_tables(spark, database, f"{tmp_path}/db")
+    for table in schemas.TABLES.values():
+        fill(spark, database, table, 100, D1)
+    return database
+
+
+def test_loaded_date_passes(spark, loaded):
+    quality.assert_valid(quality.load_metrics(spark, loaded, [D1]))
+    assert quality.load_metrics(spark, loaded, [D1]).count() == 6
+    with_hourly = quality.load_metrics(spark, loaded, [D1], quality.DAILY_GOLD + quality.HOURLY_GOLD)
+    quality.assert_valid(with_hourly)
+    assert with_hourly.count() == 8
+
+
+@pytest.mark.parametrize(
+    ("table", "rows"),
+    [
+        (schemas.BRONZE_LINE_STATUS, 4),
+        (schemas.BRONZE_BIKE_POINTS, 99),
+        (schemas.BRONZE_AIR_QUALITY, 0),
+        (schemas.GOLD_DAILY_LINE, 0),
+        (schemas.GOLD_DAILY_BIKE, 0),
+        (schemas.GOLD_DAILY_AIR, 0),
+    ],
+)
+def test_short_table_fails(spark, loaded, table, rows):
+    fill(spark, loaded, table, rows, D1)
+    metrics = quality.load_metrics(spark, loaded, [D1])
+    assert [(r.table_name, r.rows_loaded) for r in metrics.where("not passed").collect()] == [(table.name, rows)]
+
+
+def test_hourly_tables_are_checked_on_request(spark, loaded):
+    fill(spark, loaded, schemas.GOLD_HOURLY_BIKE, 0, D1)
+    quality.assert_valid(quality.load_metrics(spark, loaded, [D1]))
+    with pytest.raises(quality.QualityError, match="gold_hourly_bike_summary"):
+        quality.assert_valid(quality.load_metrics(spark, loaded, [D1], quality.DAILY_GOLD + quality.HOURLY_GOLD))
+
+
+def test_date_that_was_not_loaded_fails_every_check(spark, loaded):
+    metrics = quality.load_metrics(spark, loaded, [D1, D2])
+    assert metrics.where("not passed").select("day").distinct().collect()[0].day == D2
+    assert metrics.where("not passed").count() == 6

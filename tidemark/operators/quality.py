@@ -48,24 +48,29 @@ def raw_metrics(
 
     A snapshot is what shares one ``extracted_at``. Frames flattened with
     ``keep_empty`` also count snapshots without records. Dates in ``dates``
-    that nothing landed for appear with zero snapshots.
+    that nothing landed for appear with zero snapshots, and a snapshot of any
+    other date does not pass.
     """
     per_dataset = [
         _dataset_metrics(records[dataset], dataset, min_records[dataset]) for dataset in schemas.DATASETS
     ]
     found = reduce(DataFrame.unionByName, per_dataset)
     dates = list(dates)
+    asked_for = F.lit(True)
     if dates:
-        spark = found.sparkSession
-        missing = _expected(spark, "dataset", schemas.DATASETS, "extracted_date", dates)
+        missing = _expected(found.sparkSession, "dataset", schemas.DATASETS, "extracted_date", dates)
         found = found.unionByName(missing, allowMissingColumns=True)
+        asked_for = F.col("extracted_date").isin(*dates)
     measures = ("snapshots", "records", "short_snapshots", "violations")
     return (
         found.groupBy("dataset", "extracted_date")
         .agg(*(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in measures))
         .withColumn(
             "passed",
-            (F.col("snapshots") > 0) & (F.col("short_snapshots") == 0) & (F.col("violations") == 0),
+            asked_for
+            & (F.col("snapshots") > 0)
+            & (F.col("short_snapshots") == 0)
+            & (F.col("violations") == 0),
         )
     )
 
