@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "8g",
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.sql.execution.arrow.pyspark.enabled": "true",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),

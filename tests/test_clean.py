@@ -63,16 +63,16 @@ def test_clean_air_quality(spark):
     assert {(r.forecast_type, r.forecast_summary) for r in rows} == {("t", "s")}
 
 
-@pytest.mark.parametrize("bad", ["yesterday", "", None])
+@pytest.mark.parametrize("bad", ["yesterday", "", "2026-02-30T00:00:00+00:00"])
 def test_malformed_instants_fail(spark, bad):
     records = spark.createDataFrame([(bad, "t", "Low", "", "", "", "", "", "")], AIR)
-    with pytest.raises(Exception, match="extracted_at is not a valid timestamp"):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         clean_air_quality(records).collect()
 
 
 def test_identifier_without_number_fails(spark):
     records = spark.createDataFrame([(AT, "BikePoints_x", "n", 0.0, 0.0, 1, 1, 1)], BIKE)
-    with pytest.raises(Exception, match="bike_point_id is not a valid int"):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         clean_bike_points(records).collect()
 
 
@@ -100,3 +100,15 @@ def test_dates_are_utc(spark):
     assert datetime.fromisoformat(AT).utcoffset().total_seconds() == 0
     records = spark.createDataFrame([("2026-07-20T01:00:00+02:00", "t", "Low", "", "", "", "", "", "")], AIR)
     assert clean_air_quality(records).first().extracted_date == date(2026, 7, 19)
+
+
+@pytest.mark.parametrize(("key", "value"), [("spark.sql.ansi.enabled", "false"), ("spark.sql.session.timeZone", "Asia/Tokyo")])
+def test_settings_that_would_change_results_are_refused(spark, key, value):
+    records = spark.createDataFrame([], AIR)
+    old = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        with pytest.raises(ValueError, match=key):
+            clean_air_quality(records)
+    finally:
+        spark.conf.set(key, old)

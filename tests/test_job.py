@@ -99,22 +99,27 @@ def test_new_snapshot_joins_its_day(spark, landing, database, tmp_path):
     assert sorted(r.summary_hour for r in hours.collect()) == [8, 12, 16, 20]
 
 
-@pytest.mark.parametrize("fault", ["few stations", "bad band", "no documents", "empty document"])
-def test_failed_gate_leaves_the_tables_alone(spark, landing, database, tmp_path, fault):
-    run(spark, landing, database, DATES[:2], tmp_path)
-    before = content(spark, database)
-    dates = DATES[:2]
+def faulty(fault):
     bad = snapshot(random.Random(9), stations=99 if fault == "few stations" else 110)
     if fault == "bad band":
         bad["air_quality"]["currentForecast"][0]["forecastBand"] = " Low"
+    if fault == "bad severity":
+        bad["line_status"][0]["lineStatuses"] = [{"statusSeverity": 21}]
     if fault == "empty document":
         bad["line_status"] = []
-    if fault == "no documents":
-        dates = [*dates, date(2026, 8, 1)]
-    else:
-        land(landing, DATES[0], 22, bad)
-    with pytest.raises(quality.QualityError):
-        run(spark, landing, database, dates, tmp_path)
+    return bad
+
+
+def test_failed_gate_leaves_the_tables_alone(spark, landing, database, tmp_path):
+    run(spark, landing, database, DATES[:2], tmp_path)
+    before = content(spark, database)
+    with pytest.raises(quality.QualityError, match="2026-08-01, snapshots=0"):
+        run(spark, landing, database, [*DATES[:2], date(2026, 8, 1)], tmp_path)
+    for fault in ("few stations", "bad band", "bad severity", "empty document"):
+        land(landing, DATES[0], 22, faulty(fault))
+        with pytest.raises(quality.QualityError) as error:
+            run(spark, landing, database, DATES[:2], tmp_path)
+        assert str(error.value).count("dataset=") == 1, fault
     assert content(spark, database) == before
 
 

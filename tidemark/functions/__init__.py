@@ -1,6 +1,6 @@
 """Column expressions shared by the sources, cleaners and aggregates."""
 
-from tidemark.functions.checks import required, strict_cast
+from tidemark.functions.checks import required
 from tidemark.functions.lookups import code_label, integer_property, last_property
 from tidemark.functions.numbers import bucket_label, occupancy, rate_pct, round2
 from tidemark.functions.text import strip, title_case, trailing_number
@@ -14,7 +14,6 @@ __all__ = [
     "rate_pct",
     "required",
     "round2",
-    "strict_cast",
     "strip",
     "title_case",
     "trailing_number",

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.checks import strict_cast
-
 # Every Unicode white-space character, the four separator
 # controls U+001C to U+001F included.
 WHITE_SPACE = (
@@ -34,6 +32,6 @@ def title_case(text: Column) -> Column:
     return F.array_join(F.transform(runs, F.initcap), "")
 
 
-def trailing_number(text: Column, what: str) -> Column:
+def trailing_number(text: Column) -> Column:
     """The digits at the end as an integer; an error where there are none."""
-    return strict_cast(F.regexp_extract(text, r"(\d+)$", 1), "int", what)
+    return F.regexp_extract(text, r"(\d+)$", 1).cast("int")

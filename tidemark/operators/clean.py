@@ -13,17 +13,17 @@ from tidemark.functions import (
     bucket_label,
     code_label,
     occupancy,
-    strict_cast,
     strip,
     title_case,
     trailing_number,
 )
+from tidemark.session import require_settings
 
 
 def clean_line_status(records: DataFrame) -> DataFrame:
     severity = F.col("status_severity").cast("int")
     return records.select(
-        *_extracted(),
+        *_extracted(records),
         "line_id",
         title_case(strip(F.col("line_name"))).alias("line_name"),
         severity.alias("status_severity"),
@@ -39,8 +39,8 @@ def clean_bike_points(records: DataFrame) -> DataFrame:
     docks = F.col("nb_docks").cast("int")
     return (
         records.select(
-            *_extracted(),
-            trailing_number(F.col("bike_point_id"), "bike_point_id").alias("station_id"),
+            *_extracted(records),
+            trailing_number(F.col("bike_point_id")).alias("station_id"),
             "bike_point_id",
             strip(F.col("name")).alias("name"),
             _coordinate("lat"),
@@ -61,7 +61,7 @@ def clean_bike_points(records: DataFrame) -> DataFrame:
 def clean_air_quality(records: DataFrame) -> DataFrame:
     texts = ("forecast_type", "forecast_band", "forecast_summary", *schemas.POLLUTANT_BANDS)
     return (
-        records.select(*_extracted(), *(strip(F.col(name)).alias(name) for name in texts))
+        records.select(*_extracted(records), *(strip(F.col(name)).alias(name) for name in texts))
         .withColumn(
             "forecast_score",
             code_label(F.col("forecast_band"), schemas.BAND_SCORES, schemas.UNKNOWN_SCORE),
@@ -81,8 +81,9 @@ def clean_all(records: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {dataset: clean(records[dataset]) for dataset, clean in CLEANERS.items()}
 
 
-def _extracted() -> tuple[Column, Column]:
-    instant = strict_cast(F.col("extracted_at"), "timestamp", "extracted_at")
+def _extracted(records: DataFrame) -> tuple[Column, Column]:
+    require_settings(records.sparkSession)
+    instant = F.col("extracted_at").cast("timestamp")
     return instant.alias("extracted_at"), F.to_date(instant).alias("extracted_date")
 
 

@@ -7,10 +7,13 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from datetime import date, timedelta
+from functools import partial
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import schemas
@@ -39,7 +42,7 @@ def run(
         quality.assert_valid(quality.raw_metrics(records, dates, min_records))
         tables.ensure_tables(spark, database, location)
         cleaned = clean_all({name: frame.where("is_record") for name, frame in records.items()})
-        load_bronze(cleaned, database, dates)
+        load_bronze(spark, cleaned, database, dates)
     finally:
         delete_folder(spark, folder)
     build_gold(spark, database, dates)
@@ -48,43 +51,68 @@ def run(
 
 def stage(frames: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """The frames, read back from parquet in a shared folder."""
-    staged = {}
-    for name, frame in frames.items():
-        path = f"{folder}/{name}"
-        frame.write.parquet(path)
-        staged[name] = frame.sparkSession.read.schema(frame.schema).parquet(path)
-    return staged
+    spark = next(iter(frames.values())).sparkSession
+    writes = (partial(frame.write.parquet, f"{folder}/{name}") for name, frame in frames.items())
+    _side_by_side(spark, writes)
+    return {name: spark.read.schema(frame.schema).parquet(f"{folder}/{name}") for name, frame in frames.items()}
 
 
-def load_bronze(cleaned: dict[str, DataFrame], database: str, dates: Iterable[date]) -> None:
-    for dataset, table in schemas.BRONZE.items():
-        tables.load_table(cleaned[dataset], database, table, dates)
+def load_bronze(
+    spark: SparkSession, cleaned: dict[str, DataFrame], database: str, dates: Iterable[date]
+) -> None:
+    dates = list(dates)
+    loads = (
+        partial(tables.load_table, cleaned[dataset], database, table, dates)
+        for dataset, table in schemas.BRONZE.items()
+    )
+    _side_by_side(spark, loads)
 
 
 def build_gold(spark: SparkSession, database: str, dates: Iterable[date]) -> None:
     """Rebuild the five gold tables for ``dates`` from bronze."""
     require_settings(spark)
     dates = sorted(set(dates))
+    lines, bikes, air = (tables.read_table(spark, database, table, dates) for table in schemas.BRONZE.values())
+
+    def load(df: DataFrame, table: schemas.Table) -> None:
+        tables.load_table(df, database, table, dates)
+
+    def load_lines() -> None:
+        with _kept(gold.hourly_line_state(lines)) as hourly:
+            load(gold.finish_line(hourly, schemas.GOLD_HOURLY_LINE), schemas.GOLD_HOURLY_LINE)
+            daily = gold.merge_line_state(hourly, gold.DAY)
+            load(gold.finish_line(daily, schemas.GOLD_DAILY_LINE), schemas.GOLD_DAILY_LINE)
 
-    lines = tables.read_table(spark, database, schemas.BRONZE_LINE_STATUS, dates)
-    _load_both_grains(gold.hourly_line_state(lines), gold.merge_line_state, gold.finish_line,
-                      database, schemas.GOLD_DAILY_LINE, schemas.GOLD_HOURLY_LINE, dates)
+    def load_bikes() -> None:
+        with _kept(gold.hourly_bike_state(bikes)) as hourly:
+            load(gold.finish_bike(hourly, schemas.GOLD_HOURLY_BIKE), schemas.GOLD_HOURLY_BIKE)
+            daily = gold.merge_bike_state(hourly, gold.DAY)
+            load(gold.finish_bike(daily, schemas.GOLD_DAILY_BIKE), schemas.GOLD_DAILY_BIKE)
 
-    bikes = tables.read_table(spark, database, schemas.BRONZE_BIKE_POINTS, dates)
-    _load_both_grains(gold.hourly_bike_state(bikes), gold.merge_bike_state, gold.finish_bike,
-                      database, schemas.GOLD_DAILY_BIKE, schemas.GOLD_HOURLY_BIKE, dates)
+    def load_air() -> None:
+        load(gold.daily_air(air), schemas.GOLD_DAILY_AIR)
 
-    air = tables.read_table(spark, database, schemas.BRONZE_AIR_QUALITY, dates)
-    tables.load_table(gold.daily_air(air), database, schemas.GOLD_DAILY_AIR, dates)
+    _side_by_side(spark, (load_lines, load_bikes, load_air))
 
 
-def _load_both_grains(state, merge, finish, database, daily, hourly, dates) -> None:
-    state = state.persist(StorageLevel.MEMORY_AND_DISK)
+@contextmanager
+def _kept(df: DataFrame) -> Iterator[DataFrame]:
+    """The frame with its rows kept for reuse; lost ones are computed again."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        tables.load_table(finish(merge(state, gold.DAY), daily), database, daily, dates)
-        tables.load_table(finish(state, hourly), database, hourly, dates)
+        yield kept
     finally:
-        state.unpersist()
+        kept.unpersist()
+
+
+def _side_by_side(spark: SparkSession, actions: Iterable[Callable[[], None]]) -> None:
+    """Submit independent jobs together, so small ones fill the gaps of large ones."""
+    actions = list(actions)
+    with_session = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(actions)) as pool:
+        running = [pool.submit(with_session(action)) for action in actions]
+    for job in running:
+        job.result()
 
 
 def _parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:

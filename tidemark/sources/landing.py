@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from tidemark import schemas
-from tidemark.functions import integer_property, required, strict_cast
+from tidemark.functions import integer_property, required
+from tidemark.session import require_settings
 
 _FAIL = {"mode": "FAILFAST"}
 
@@ -120,6 +121,7 @@ def _parse(schema: DataType) -> Column:
 
 def _explode(documents: DataFrame, elements: Column, name: str, keep_empty: bool) -> DataFrame:
     """One row per array element; a null element is an error, not a record."""
+    require_settings(documents.sparkSession)
     if keep_empty:
         rows = documents.select("extracted_at", F.posexplode_outer(elements).alias("pos", name))
         is_record = F.col("pos").isNotNull()
@@ -138,5 +140,4 @@ def _text(path: str, default: str = "") -> Column:
 
 
 def _coordinate(name: str) -> Column:
-    value = F.col(f"point.{name}")
-    return F.when(value.isNotNull(), strict_cast(value, "double", name)).alias(name)
+    return F.col(f"point.{name}").cast("double").alias(name)
