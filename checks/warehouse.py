@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks import fixtures
 from tidemark import schemas
-from tidemark.operators import tables
+from tidemark.operators import quality, tables
 from tidemark.plans import job
 from tidemark.session import scratch_folder
 
+# Half a day of the smallest tables holds fewer stations than a real snapshot.
+MIN_RECORDS = quality.MIN_RECORDS | {schemas.BIKE_POINTS: 50}
+
 _BUILT: dict[tuple[str, str], Warehouse] = {}
 
 
@@ -36,8 +39,12 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 def build(spark: SparkSession, sf_dir: str) -> Warehouse:
     folder = scratch_folder(spark)
     landing = land(spark, sf_dir, f"{folder}/landing")
-    built = Warehouse(new_database(), days(spark, sf_dir))
-    job.run(spark, landing, built.database, built.dates, f"{folder}/warehouse")
+    return load(spark, landing, days(spark, sf_dir), f"{folder}/warehouse")
+
+
+def load(spark: SparkSession, landing: str, dates: list[date], location: str) -> Warehouse:
+    built = Warehouse(new_database(), dates)
+    job.run(spark, landing, built.database, dates, location, MIN_RECORDS)
     return built
 
 

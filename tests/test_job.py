@@ -85,6 +85,9 @@ def test_backfill_equals_one_date_at_a_time(spark, landing, database, tmp_path):
         # Again, for one date: nothing doubles and nothing goes missing.
         run(spark, landing, single, [DATES[1]], tmp_path)
         assert content(spark, single) == at_once
+        # And with the daily tables merged from the hourly state.
+        job.build_gold(spark, single, DATES, share_hourly=True)
+        assert content(spark, single) == at_once
     finally:
         spark.sql(f"DROP DATABASE IF EXISTS {single} CASCADE")
 

@@ -2,10 +2,9 @@
 
 Lines and stations go through an unrounded *state* of counts, sums and
 extremes. A state is built from bronze rows, or by merging a finer state, so
-the hourly and the daily table of a rebuild share one scan and one shuffle of
-the bronze rows. All state columns are fixed-width, which keeps both
-aggregation phases hash-based, and all sums are of integers, so a retry gives
-the same result whatever order rows arrive in.
+averages are never taken of rounded averages. All state columns are
+fixed-width, which keeps both aggregation phases hash-based, and all sums are
+of integers, so a retry gives the same result whatever order rows arrive in.
 """
 
 from __future__ import annotations

@@ -68,31 +68,45 @@ def load_bronze(
     _side_by_side(spark, loads)
 
 
-def build_gold(spark: SparkSession, database: str, dates: Iterable[date]) -> None:
-    """Rebuild the five gold tables for ``dates`` from bronze."""
+def build_gold(
+    spark: SparkSession, database: str, dates: Iterable[date], share_hourly: bool = False
+) -> None:
+    """Rebuild the five gold tables for ``dates`` from bronze.
+
+    By default each table is one scan and one aggregation. With
+    ``share_hourly`` the daily tables are merged from the kept hourly state
+    instead of read from bronze again. That pays where an hour holds many
+    snapshots; where it holds about one, the state is as large as bronze.
+    """
     require_settings(spark)
     dates = sorted(set(dates))
     lines, bikes, air = (tables.read_table(spark, database, table, dates) for table in schemas.BRONZE.values())
 
-    def load(df: DataFrame, table: schemas.Table) -> None:
+    def load(table: schemas.Table, df: DataFrame) -> None:
         tables.load_table(df, database, table, dates)
 
-    def load_lines() -> None:
+    def load_lines_from_state() -> None:
         with _kept(gold.hourly_line_state(lines)) as hourly:
-            load(gold.finish_line(hourly, schemas.GOLD_HOURLY_LINE), schemas.GOLD_HOURLY_LINE)
             daily = gold.merge_line_state(hourly, gold.DAY)
-            load(gold.finish_line(daily, schemas.GOLD_DAILY_LINE), schemas.GOLD_DAILY_LINE)
+            load(schemas.GOLD_HOURLY_LINE, gold.finish_line(hourly, schemas.GOLD_HOURLY_LINE))
+            load(schemas.GOLD_DAILY_LINE, gold.finish_line(daily, schemas.GOLD_DAILY_LINE))
 
-    def load_bikes() -> None:
+    def load_bikes_from_state() -> None:
         with _kept(gold.hourly_bike_state(bikes)) as hourly:
-            load(gold.finish_bike(hourly, schemas.GOLD_HOURLY_BIKE), schemas.GOLD_HOURLY_BIKE)
             daily = gold.merge_bike_state(hourly, gold.DAY)
-            load(gold.finish_bike(daily, schemas.GOLD_DAILY_BIKE), schemas.GOLD_DAILY_BIKE)
-
-    def load_air() -> None:
-        load(gold.daily_air(air), schemas.GOLD_DAILY_AIR)
-
-    _side_by_side(spark, (load_lines, load_bikes, load_air))
+            load(schemas.GOLD_HOURLY_BIKE, gold.finish_bike(hourly, schemas.GOLD_HOURLY_BIKE))
+            load(schemas.GOLD_DAILY_BIKE, gold.finish_bike(daily, schemas.GOLD_DAILY_BIKE))
+
+    if share_hourly:
+        loads = [load_lines_from_state, load_bikes_from_state]
+    else:
+        loads = [
+            partial(load, schemas.GOLD_DAILY_LINE, gold.daily_line(lines)),
+            partial(load, schemas.GOLD_HOURLY_LINE, gold.hourly_line(lines)),
+            partial(load, schemas.GOLD_DAILY_BIKE, gold.daily_bike(bikes)),
+            partial(load, schemas.GOLD_HOURLY_BIKE, gold.hourly_bike(bikes)),
+        ]
+    _side_by_side(spark, [*loads, partial(load, schemas.GOLD_DAILY_AIR, gold.daily_air(air))])
 
 
 @contextmanager
