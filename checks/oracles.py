@@ -176,7 +176,6 @@ FROM ev"""
 )
 
 CLEAN_BIKE_POINTS = over(
-    BIKE_BRONZE,
     query=f"""
 SELECT b.extracted_at, b.extracted_date, b.station_id, 'BikePoints_' || b.station_id AS bike_point_id, b.name, b.lat, b.lon,
        b.nb_bikes, b.nb_empty_docks, b.nb_docks, b.occupancy_pct, {availability('b.occupancy_pct')} AS availability_status
@@ -186,7 +185,7 @@ FROM (SELECT extracted_at, extracted_date, station_id, name, lat, lon, nb_bikes,
                    'Stop ' || user_id AS name,
                    CAST(51 AS DOUBLE) + CAST(user_id AS DOUBLE) / CAST(1000 AS DOUBLE) AS lat,
                    CAST(0 AS DOUBLE) - CAST(user_id AS DOUBLE) / CAST(1000 AS DOUBLE) AS lon,
-                   CAST(floor(value) AS INT) % 45 AS nb_bikes, k % 40 AS nb_docks, k FROM ev)) AS b""",
+                   CAST(floor(value) AS INT) % 45 AS nb_bikes, k % 40 AS nb_docks, k FROM ev)) AS b"""
 )
 
 CLEAN_AIR_QUALITY = over(

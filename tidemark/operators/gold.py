@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import rate_pct, round2
+from tidemark.session import require_settings
 
 LINE_KEYS = ("line_id", "line_name")
 BIKE_KEYS = ("station_id", "name", "lat", "lon")
@@ -28,6 +29,7 @@ def _day(bronze: DataFrame) -> DataFrame:
 
 
 def _hour(bronze: DataFrame) -> DataFrame:
+    require_settings(bronze.sparkSession)
     return bronze.withColumn("summary_date", F.to_date("extracted_at")).withColumn(
         "summary_hour", F.hour("extracted_at")
     )

@@ -1,6 +1,7 @@
 """The pipeline: landed documents to bronze to gold, for any set of dates at once.
 
-    spark-submit -m tidemark.plans.job --landing <folder> --database <name> \
+    spark-submit --py-files tidemark.zip tidemark/plans/job.py \
+        --landing <folder> --database <name> \
         --first 2024-01-01 --last 2024-01-31
 """
 
