@@ -5,13 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, quality_rules
+from tidemark.llm import bpe, decontaminate, quality_rules
 from tidemark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    marked = decontaminate.mark(docs, documents(spark, sf_dir, "benchmark"), keep_text=False)
+    return decontaminate.judged(marked).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "hit_items"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir))
 
@@ -27,8 +41,38 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_decontaminate": op2_decontaminate,
     "op7_quality_rules": op7_quality_rules,
     "op9_bpe": op9_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+# --- SQL ----------------------------------------------------------------------
+
+UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
+LOWERED = f"translate(text, {UPPER}, lower({UPPER}))"
+WORDS_SQL = rf"coalesce(regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+
+OP2_SQL = f"""
+WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {WORDS_SQL} AS w FROM benchmark),
+phrases AS (
+  SELECT DISTINCT item_id, list_slice(w, i, i + 12) AS p
+  FROM items, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT len(p) AS n FROM phrases),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS w FROM documents),
+places AS (
+  SELECT r, i, n, list_slice(w, i, i + n - 1) AS p
+  FROM docs, sizes, unnest(range(1, len(w) - n + 2)) AS t(i)),
+hits AS (SELECT r, i, n, item_id FROM places JOIN phrases USING (p)),
+hit_words AS (SELECT r, count(DISTINCT j) AS n_hit FROM hits, unnest(range(i, i + n)) AS u(j) GROUP BY r),
+hit_items AS (
+  SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids
+  FROM hits GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_decontaminate": OP2_SQL,
+}
