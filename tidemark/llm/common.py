@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +28,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets workers on this machine import the package from where the driver did; clusters get it by --py-files."""
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def with_block_columns(
     df: DataFrame, fields: list[StructField], start: Callable[[], Block], without: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -34,6 +44,7 @@ def with_block_columns(
     ``start`` is called once a task and returns the function for its batches.
     Columns of the same names are replaced; columns ``without`` are read but not returned.
     """
+    importable(df.sparkSession)
     new = [f.name for f in fields]
     clashing = {n.lower() for n in new}
     kept = [c for c in df.columns if c.lower() not in clashing]
@@ -56,6 +67,7 @@ def rows_from_blocks(
     df: DataFrame, schema: StructType, start: Callable[[], Block]
 ) -> DataFrame:
     """New rows that ``start()`` makes from the batches of ``df`` inside the tasks."""
+    importable(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = start()

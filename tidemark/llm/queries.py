@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, quality_rules
+from tidemark.llm import bpe, decontaminate, minhash, quality_rules
 from tidemark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir))
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 
@@ -43,6 +47,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_decontaminate": op2_decontaminate,
     "op7_quality_rules": op7_quality_rules,
+    "op8_minhash": op8_minhash,
     "op9_bpe": op9_bpe,
 }
 
@@ -73,6 +78,28 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 """
 
+OP8_SQL = f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    coalesce(regexp_extract_all({LOWERED}, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT r, list_slice(w, i, i + 4) AS s
+  FROM docs, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+common AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS c FROM shingles AS a JOIN shingles AS b USING (s)
+  WHERE a.r <> b.r GROUP BY a.r, b.r),
+links AS (
+  SELECT a, b FROM common JOIN sizes AS x ON x.r = a JOIN sizes AS y ON y.r = b
+  WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach AS (SELECT r AS a, r AS b FROM docs UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+smallest AS (
+  SELECT reach.a AS r, min(docs.doc_id) AS component_id FROM reach JOIN docs ON docs.r = reach.b GROUP BY reach.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM docs JOIN smallest USING (r) LEFT JOIN sizes USING (r)
+"""
+
 ORACLES: dict[str, str] = {
+    "op8_minhash": OP8_SQL,
     "op2_decontaminate": OP2_SQL,
 }

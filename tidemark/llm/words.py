@@ -31,9 +31,9 @@ _powers: dict[int, np.ndarray] = {}
 def _power_table(base: int, n: int) -> np.ndarray:
     table = _powers.get(base)
     if table is None or len(table) < n:
-        size = max(n, 1 << 16)
-        table = np.cumprod(np.concatenate([[1], np.full(size, base, dtype=np.uint64)]).astype(np.uint64))
-        _powers[base] = table
+        factors = np.full(max(n, 1 << 16), base, dtype=np.uint64)
+        factors[0] = 1
+        table = _powers[base] = np.cumprod(factors)
     return table[:n]
 
 
