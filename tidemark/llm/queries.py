@@ -7,12 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, minhash, quality_rules
+from tidemark.llm import bpe, decontaminate, licenses, line_dedup, minhash, quality_rules, secrets
 from tidemark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(secrets.labelled_samples(docs)))
+    count = lambda spans, kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *(count("base_spans", kind).alias(f"n_{kind}") for kind in secrets.KINDS),
+        F.sha2(secrets.listed("base_spans"), 256).alias("base_sha256"),
+        secrets.listed("spans").alias("spans"),
+        count("spans", "markov").alias("n_markov"),
+    )
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     marked = decontaminate.mark(docs, documents(spark, sf_dir, "benchmark"), keep_text=False)
@@ -26,6 +39,14 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(documents(spark, sf_dir))
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(documents(spark, sf_dir)))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir))
 
@@ -45,7 +66,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_secrets": op1_secrets,
     "op2_decontaminate": op2_decontaminate,
+    "op3_line_dedup": op3_line_dedup,
+    "op5_licenses": op5_licenses,
     "op7_quality_rules": op7_quality_rules,
     "op8_minhash": op8_minhash,
     "op9_bpe": op9_bpe,
