@@ -1,5 +1,78 @@
-"""placeholder"""
-STAGES = []
-ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+"""From raw documents to token ids in five stages.
+
+Every stage reads what its predecessor kept and returns a DataFrame, which is
+written as Parquet in the shared folder and read again. All but the last
+return the columns of documents.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import bpe, decontaminate, language, line_dedup, minhash
+from tidemark.llm.common import documents, shared_folder
+from tidemark.llm.queries import tokenizer_file
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+# A document stays if its language has this probability.
+LEAST_SCORE = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or without a language of at least ``LEAST_SCORE``, go."""
+    found = language.predict(docs, language.fit(docs))
+    sure = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
+    return found.where(sure).select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of a line go; a document that loses all its text goes."""
+    cleaned = line_dedup.dedup(docs)
+    kept = cleaned.where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
+    # The length follows the text, where it was known.
+    length = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.withColumn("n_chars", F.coalesce(length, "n_chars")).select(*docs.columns)
+
+
+def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, that with the smallest id."""
+    ids = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+
+
+def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which a twentieth or more stands in benchmark items go."""
+    marked = decontaminate.mark(docs, documents(spark, sf_dir, "benchmark"), text_left=False)
+    return decontaminate.judged(marked).where("NOT contaminated").select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Number and hash of the token ids, and hash of what they decode to, for every document."""
+    return bpe.digest(docs.select("doc_id", "text"), tokenizer_file())
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("minhash_near_dedup", dedup_documents),
+    ("decontamination", remove_contaminated),
+    ("bpe_encoding", encode),
+]
+
+# SQL expresses neither the network of the first stage nor the tokenizer of the last.
+ORACLE_SQL: str | None = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages applied to ``documents``, each result written and read again."""
+    folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs

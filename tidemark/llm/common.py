@@ -16,15 +16,17 @@ from pyspark.sql.types import StructField, StructType
 Block = Callable[[pa.RecordBatch], dict[str, pa.Array]]
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder that ``spark.checkpoint.dir`` names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; only where that is unset, one in the warehouse."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints").rstrip("/")
 
-    Only where that setting is absent, a folder of the warehouse is taken.
-    """
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        warehouse = df.sparkSession.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        context.setCheckpointDir(f"{warehouse}/_checkpoints")
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

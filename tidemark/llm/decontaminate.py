@@ -246,18 +246,19 @@ def mark(
     window: int = WINDOW,
     block_words: int = BLOCK_WORDS,
     keep_text: bool = True,
+    text_left: bool = True,
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``hit_spans`` (merged spans of words), ``hit_items`` (sorted ids) and ``text_left``.
 
-    ``text_left`` is the text without the spans. With ``keep_text`` false,
-    neither text is returned.
+    ``text_left``, the text without the spans, is made if asked for; the text
+    itself is returned with ``keep_text``.
     """
     fields = [
         StructField("n_words", LongType()),
         StructField("hit_spans", SPANS),
         StructField("hit_items", ArrayType(StringType())),
     ]
-    if keep_text:
+    if text_left:
         fields.append(StructField("text_left", StringType()))
     context = docs.sparkSession.sparkContext
     parts = [context.broadcast(block) for block in _item_blocks(items, item_id, item_text, block_words)] or [
@@ -297,7 +298,7 @@ def mark(
                 ),
                 "hit_items": pa.array([sorted(x) for x in names], pa.list_(pa.string())),
             }
-            if keep_text:
+            if text_left:
                 null = batch.column(batch.schema.get_field_index(text)).is_null().to_pylist()
                 made["text_left"] = pa.array(
                     [None if no else x.decode() for x, no in zip(left, null, strict=True)], pa.string()

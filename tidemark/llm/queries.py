@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, licenses, line_dedup, minhash, quality_rules, secrets
+from tidemark.llm import bpe, decontaminate, html_text, language, licenses, line_dedup, minhash, quality_rules, secrets, warc
 from tidemark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,7 +28,7 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    marked = decontaminate.mark(docs, documents(spark, sf_dir, "benchmark"), keep_text=False)
+    marked = decontaminate.mark(docs, documents(spark, sf_dir, "benchmark"), keep_text=False, text_left=False)
     return decontaminate.judged(marked).select(
         "doc_id",
         "n_words",
@@ -43,10 +43,44 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(documents(spark, sf_dir))
 
 
+def capture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive records made from ``pages``: of each page a response, a revisit an hour later that changes nothing,
+    and a third. For a third of the pages that is a revisit of one portal, for a thirtieth a response of it, else a
+    revisit with other validators."""
+    pages = documents(spark, sf_dir, "pages").select("page_id", "url", F.sha1("html").alias("sha"), F.length("html").alias("n"))
+    own = pages.withColumn("at", F.expr("1704067200 + page_id * 7919 % 1000003"))
+    rows = """
+      array(
+        named_struct('nth', 0, 'url', url, 'at', at, 'kind', 'response', 'digest', sha, 'headers', map(
+          'Content-Type', 'text/html', 'Content-Length', cast(n as string), 'ETag', left(sha, 12),
+          'Last-Modified', cast(at as string), 'Cache-Control', 'no-cache', 'Date', cast(at as string))),
+        named_struct('nth', 1, 'url', concat(url, '#top'), 'at', at + 3600, 'kind', 'revisit', 'digest', sha, 'headers', map(
+          'Content-Length', '0', 'etag', left(sha, 12), 'cache-control', 'max-age=60', 'Date', cast(at + 3600 as string))),
+        named_struct('nth', 2, 'url', if(page_id % 3 = 0 or page_id % 30 = 1, 'http://www.portal.example/', url),
+          'at', at - 60, 'kind', if(page_id % 30 = 1, 'response', 'revisit'), 'digest', string(null), 'headers', map(
+          'Content-Length', '1', 'ETag', if(page_id % 3 = 0, 'portal', concat('p', if(page_id % 60 = 1, 'ortal', ''))),
+          'Date', cast(at - 60 as string))))"""
+    return own.select("page_id", F.explode(F.expr(rows)).alias("r")).select(
+        (F.col("page_id") * 3 + F.col("r.nth")).alias("record_id"), "r.url", F.timestamp_seconds("r.at").alias("time"),
+        "r.kind", "r.digest", "r.headers",
+    )
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = warc.resolve(capture_records(spark, sf_dir))
+    listed = "array_join(transform(array_sort(map_entries(headers)), e -> concat(e.key, ': ', e.value)), '\n')"
+    return resolved.withColumn("headers", F.expr(listed))
+
+
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(documents(spark, sf_dir)))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = documents(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.texts(pages, html_text.fit(pages))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir))
 
@@ -65,14 +99,23 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(documents(spark, sf_dir).select("doc_id", "text"), tokenizer_file())
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = language.predict(docs.select("doc_id", "text"), language.fit(docs), keep_text=False)
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_decontaminate": op2_decontaminate,
     "op3_line_dedup": op3_line_dedup,
+    "op4_warc": op4_warc,
     "op5_licenses": op5_licenses,
+    "op6_html_text": op6_html_text,
     "op7_quality_rules": op7_quality_rules,
     "op8_minhash": op8_minhash,
     "op9_bpe": op9_bpe,
+    "op10_language": op10_language,
 }
 
 # --- SQL ----------------------------------------------------------------------
@@ -102,6 +145,67 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 """
 
+# Two lines are one edit apart if leaving out one character at one place makes them equal, or one of them the other.
+OP3_SQL = r"""
+WITH pieces AS (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+lines AS (
+  SELECT doc_id, i - 1 AS nth, trim(p[i], ' ' || chr(9) || chr(13)) AS line FROM pieces, unnest(range(1, len(p) + 1)) AS t(i)),
+taken AS (SELECT * FROM lines WHERE length(line) >= 10),
+firsts AS (SELECT line, min((doc_id, nth)) AS f FROM taken GROUP BY line),
+variants AS (
+  SELECT line, f, hash('changed', i, line[:i - 1] || line[i + 1:]) AS v FROM firsts, unnest(range(1, length(line) + 1)) AS t(i)
+  UNION ALL
+  SELECT line, f, hash('extra', i, line[:i - 1] || line[i + 1:]) FROM firsts, unnest(range(1, length(line) + 1)) AS t(i)
+  UNION ALL
+  SELECT line, f, hash('extra', i, line) FROM firsts, unnest(range(1, length(line) + 2)) AS t(i)),
+least AS (SELECT v, min(f) AS f FROM variants GROUP BY v),
+near AS (SELECT DISTINCT line FROM variants JOIN least USING (v) WHERE variants.f > least.f),
+gone AS (
+  SELECT doc_id, count(*) AS n_removed, string_agg(CAST(nth AS VARCHAR), ',' ORDER BY nth) AS removed
+  FROM taken JOIN firsts USING (line) WHERE line IN (SELECT line FROM near) OR (doc_id, nth) > f GROUP BY doc_id),
+counted AS (SELECT doc_id, count(*) AS n_lines FROM taken GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed
+FROM documents LEFT JOIN counted USING (doc_id) LEFT JOIN gone USING (doc_id)
+"""
+
+# The portal is of every third page; each record's headers are known from what made it.
+OP4_SQL = r"""
+WITH own AS (
+  SELECT page_id, url, sha1(html) AS sha, length(html) AS n, 1704067200 + page_id * 7919 % 1000003 AS t FROM pages),
+records AS (
+  SELECT page_id * 3 AS id, url, t, false AS again, sha AS digest, left(sha, 12) AS etag, CAST(t AS VARCHAR) AS modified,
+    'no-cache' AS cache, 'text/html' AS kind, CAST(n AS VARCHAR) AS size, t AS date FROM own
+  UNION ALL
+  SELECT page_id * 3 + 1, url || '#top', t + 3600, true, sha, left(sha, 12), NULL, 'max-age=60', NULL, '0', t + 3600 FROM own
+  UNION ALL
+  SELECT page_id * 3 + 2, CASE WHEN page_id % 3 = 0 OR page_id % 30 = 1 THEN 'http://www.portal.example/' ELSE url END,
+    t - 60, page_id % 30 <> 1, NULL,
+    CASE WHEN page_id % 3 = 0 OR page_id % 60 = 1 THEN 'portal' ELSE 'p' END, NULL, NULL, NULL, '1', t - 60 FROM own),
+bare AS (
+  SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?', '') AS u
+  FROM records),
+parts AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(u, '^([^/?]*)', 1)), '^www\d*\.', ''), ':(?:80|443)$', '') AS host,
+    regexp_replace(regexp_extract(u, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+    array_to_string(list_filter(list_sort(string_split(regexp_extract(u, '\?(.*)$', 1), '&')), lambda p: p <> '' AND NOT
+      regexp_matches(lower(p), '^(?:utm_[a-z]+|ref|sid|sessionid|phpsessid|jsessionid)(?:=|$)')), '&') AS query FROM bare),
+named AS (SELECT * EXCLUDE (u, url), host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS url FROM parts),
+ranked AS (
+  SELECT v.*, r.id AS r_id, r.etag AS r_etag, r.digest AS r_digest, r.modified AS r_modified, r.cache AS r_cache,
+    r.kind AS r_kind, r.size AS r_size,
+    row_number() OVER (PARTITION BY v.id ORDER BY r.t DESC, r.id DESC) AS nth
+  FROM named AS v LEFT JOIN named AS r ON v.url = r.url AND NOT r.again AND r.t <= v.t WHERE v.again),
+judged AS (
+  SELECT *, CASE WHEN r_id IS NULL THEN 'missing'
+    WHEN coalesce(etag = r_etag, digest = r_digest, modified = r_modified, false) THEN 'resolved' ELSE 'changed' END AS status
+  FROM ranked WHERE nth = 1)
+SELECT id AS revisit_id, url, r_id AS response_id, status,
+  CASE WHEN status = 'resolved' THEN concat_ws(chr(10),
+    'cache-control: ' || coalesce(cache, r_cache), 'content-length: ' || r_size, 'content-type: ' || r_kind,
+    'date: ' || date, 'etag: ' || etag, 'last-modified: ' || coalesce(modified, r_modified)) END AS headers
+FROM judged
+"""
+
 OP8_SQL = f"""
 WITH RECURSIVE docs AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -124,6 +228,8 @@ FROM docs JOIN smallest USING (r) LEFT JOIN sizes USING (r)
 """
 
 ORACLES: dict[str, str] = {
+    "op3_line_dedup": OP3_SQL,
+    "op4_warc": OP4_SQL,
     "op8_minhash": OP8_SQL,
     "op2_decontaminate": OP2_SQL,
 }
