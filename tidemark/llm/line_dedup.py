@@ -47,12 +47,11 @@ def _lines(text: str = "text") -> Column:
 
 
 def _half_keys() -> Column:
-    """(m, j, key): half j left out, for a shorter line of m characters."""
-    one = lambda m: (
-        f"named_struct('m', {m}, 'j', 0, 'key', xxhash64({m}, 0, right(line, {m} - {m} div 2))), "
-        f"named_struct('m', {m}, 'j', 1, 'key', xxhash64({m}, 1, left(line, cast({m} div 2 as int))))"
+    """Keys with half 0 or 1 left out, for a shorter line of n characters, then of n - 1."""
+    keys = lambda m: (
+        f"xxhash64({m}, 0, right(line, {m} - {m} div 2)), xxhash64({m}, 1, left(line, cast({m} div 2 as int)))"
     )
-    return F.expr(f"array({one('n')}, {one('(n - 1)')})")
+    return F.expr(f"array({keys('n')}, {keys('(n - 1)')})")
 
 
 def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -74,11 +73,10 @@ def _shared(rows: DataFrame, key: str) -> DataFrame:
 
 def _near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """h1, h2 of the lines one edit away from an earlier one."""
-    halves = distinct.select("h1", "h2", "first", F.explode("halves").alias("half")).select(
-        "h1", "h2", "first", "half.*"
-    )
+    halves = distinct.select("h1", "h2", "first", "n", F.posexplode("halves").alias("which", "key"))
     wanted = (
         _shared(halves, "key")
+        .withColumns({"m": F.expr("n - which div 2"), "j": F.expr("which % 2")})
         .groupBy("first.id", "first.content")
         .agg(F.collect_list(F.struct("first", "h1", "h2", "m", "j", "key")).alias("wanted"))
     )
@@ -149,6 +147,7 @@ def removals(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text",
         .agg(
             F.min(F.struct("id", "content", "at")).alias("first"),
             F.count("*").alias("times"),
+            F.first("n").alias("n"),
             F.first("halves").alias("halves"),
         )
     )
