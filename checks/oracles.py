@@ -15,6 +15,9 @@ def occupancy(bikes: str, docks: str) -> str:
     return rounded(f"{bikes} / (CASE WHEN {docks} = 0 THEN 1 ELSE {docks} END) * 100")
 
 
+# The edges of the occupancy buckets, the labels of severities, the scores of bands.
+
+
 def availability(pct: str) -> str:
     return (
         f"CASE WHEN {pct} > -1 AND {pct} <= 0 THEN 'Empty' WHEN {pct} > 0 AND {pct} <= 25 THEN 'Low' "
@@ -320,6 +323,14 @@ REPARTITION_BY_DATE = over(
     BIKE_BRONZE, query="SELECT extracted_date, station_id, nb_bikes, nb_docks, occupancy_pct FROM bike_bronze"
 )
 
+REPARTITION_ALL = stored(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, true AS swapped, false AS swapped_again, count(*) AS rows_after FROM {name}"
+        for name in _DAY
+    ),
+    *STORED_GOLD,
+)
+
 ORACLES: dict[str, str] = {
     "flatten_line_status": FLATTEN_LINE_STATUS,
     "flatten_bike_points": FLATTEN_BIKE_POINTS,
@@ -343,4 +354,5 @@ ORACLES: dict[str, str] = {
     "quality_load": QUALITY_LOAD,
     "replace_dates": REPLACE_DATES,
     "repartition_by_date": REPARTITION_BY_DATE,
+    "repartition_all": REPARTITION_ALL,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,6 +96,24 @@ def repartition_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.stations").select(*rows.columns)
 
 
+def repartition_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All eight stored tables as flat ones, partitioned in place, twice, and counted."""
+    built = warehouse(spark, sf_dir)
+    database = new_database()
+    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{scratch_folder(spark)}'")
+    for table in schemas.TABLES.values():
+        built.table(spark, table).write.saveAsTable(f"{database}.{table.name}")
+    first, second = (tables.repartition_all(spark, database) for _ in range(2))
+    counts = [
+        spark.table(f"{database}.{name}").agg(
+            F.lit(name).alias("table_name"), F.lit(first[name]).alias("swapped"),
+            F.lit(second[name]).alias("swapped_again"), F.count("*").alias("rows_after"),
+        )
+        for name in schemas.TABLES
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 QUERIES: dict[str, Query] = {
     "flatten_line_status": _over(flatten_line_status, fixtures.line_documents),
     "flatten_bike_points": _over(flatten_bike_points, fixtures.bike_documents),
@@ -121,6 +139,7 @@ QUERIES: dict[str, Query] = {
     "quality_load": quality_load,
     "replace_dates": replace_dates,
     "repartition_by_date": repartition_by_date,
+    "repartition_all": repartition_all,
 }
 
 

@@ -20,6 +20,10 @@ from tidemark import functions as tf
 FEW = settings(max_examples=5, deadline=None, phases=[Phase.generate])
 
 
+EDGES = [schemas.OCCUPANCY_BUCKETS[0][0], *(high for _, high, _ in schemas.OCCUPANCY_BUCKETS)]
+LABELS = [label for _, _, label in schemas.OCCUPANCY_BUCKETS]
+
+
 def evaluate(spark, values, type_name, *expressions):
     """Rows of expressions over a column ``v``, in input order."""
     rows = [(i, v) for i, v in enumerate(values)]
@@ -108,8 +112,7 @@ def test_occupancy_without_docks(spark):
 def test_buckets_are_closed_on_the_right(spark):
     values = [-1.0, -0.5, 0.0, 0.01, 25.0, 25.01, 75.0, 75.01, 101.0, 101.01, float("nan"), None]
     label = tf.bucket_label(F.col("v"), schemas.OCCUPANCY_BUCKETS, schemas.NO_BUCKET)
-    edges = [-1, 0, 25, 75, 101]
-    expected = pd.cut(pd.Series(values, dtype="float64"), edges, labels=["Empty", "Low", "Available", "Full"])
+    expected = pd.cut(pd.Series(values, dtype="float64"), EDGES, labels=LABELS)
     assert one(spark, values, "double", label) == expected.astype(str).tolist()
 
 
@@ -117,7 +120,7 @@ def test_buckets_are_closed_on_the_right(spark):
 @given(st.lists(st.floats(-5, 110).map(lambda x: round(x, 2)), min_size=100, max_size=400))
 def test_buckets_match_pandas(spark, values):
     label = tf.bucket_label(F.col("v"), schemas.OCCUPANCY_BUCKETS, schemas.NO_BUCKET)
-    expected = pd.cut(pd.Series(values), [-1, 0, 25, 75, 101], labels=["Empty", "Low", "Available", "Full"])
+    expected = pd.cut(pd.Series(values), EDGES, labels=LABELS)
     assert one(spark, values, "double", label) == expected.astype(str).tolist()
 
 

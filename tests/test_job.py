@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import json
+import os
 import random
+import subprocess
+import sys
 from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
 
@@ -12,6 +16,7 @@ from tidemark import schemas
 from tidemark.operators import quality, tables
 from tidemark.plans import analytics, job
 
+ROOT = Path(__file__).resolve().parents[1]
 DATES = [date(2026, 7, 18) + timedelta(days=n) for n in range(3)]
 LINES = ["bakerloo", "central", "waterloo-city", "jubilee", "northern", "victoria"]
 
@@ -129,14 +134,12 @@ def test_failed_gate_leaves_the_tables_alone(spark, landing, database, tmp_path)
 def test_snapshot_in_the_wrong_folder_fails_the_gate(spark, landing, database, tmp_path):
     wrong = landing / "air_quality" / f"date={DATES[0]}" / "08.json"
     wrong.write_text(wrong.read_text().replace(str(DATES[0]), "2026-07-01"))
-    with pytest.raises(quality.QualityError, match="dataset=air_quality, extracted_date=2026-07-01"):
+    with pytest.raises(quality.QualityError, match="dataset=air_quality, extracted_date=None.*first_stray=2026-07-01"):
         run(spark, landing, database, DATES[:1], tmp_path)
 
 
 def test_scratch_folder_is_removed(spark, landing, database, tmp_path):
-    import pathlib
-
-    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
     run(spark, landing, database, DATES[:1], tmp_path)
     assert not list(shared.glob("tidemark-*"))
 
@@ -153,8 +156,63 @@ def test_wrong_session_settings_are_refused(spark, landing, database, tmp_path):
 def test_command_line_covers_a_range(monkeypatch):
     seen = {}
     monkeypatch.setattr(job, "build_session", lambda: "session")
-    monkeypatch.setattr(job, "run", lambda *arguments: seen.update(arguments=arguments))
+    monkeypatch.setattr(job, "run", lambda *arguments, **more: seen.update(arguments=arguments, **more))
     job.main(["--landing", "in", "--database", "db", "--first", "2026-07-18", "--last", "2026-07-20"])
     assert seen["arguments"] == ("session", "in", "db", DATES, None)
-    job.main(["--landing", "in", "--database", "db", "--first", "2026-07-18", "--location", "out"])
+    assert (seen["checked_gold"], seen["scratch"]) == (quality.DAILY_GOLD, None)
+    job.main(["load", "--landing", "in", "--database", "db", "--first", "2026-07-18", "--location", "out",
+              "--scratch", "tmp", "--check-hourly"])
     assert seen["arguments"] == ("session", "in", "db", DATES[:1], "out")
+    assert (seen["checked_gold"], seen["scratch"]) == (quality.DAILY_GOLD + quality.HOURLY_GOLD, "tmp")
+
+
+def test_command_line_rebuilds_gold_and_repartitions(spark, landing, database, tmp_path, monkeypatch):
+    run(spark, landing, database, DATES[:2], tmp_path)
+    before = content(spark, database)
+    spark.sql(f"TRUNCATE TABLE {database}.gold_daily_air_quality")
+    monkeypatch.setattr(job, "build_session", lambda: spark)
+    days = ["--first", str(DATES[0]), "--last", str(DATES[1])]
+    job.main(["gold", "--database", database, *days, "--check-hourly"])
+    assert content(spark, database) == before
+    with pytest.raises(quality.QualityError, match="rows_loaded=0"):
+        job.main(["gold", "--database", database, "--first", "2026-08-01"])
+    job.main(["repartition", "--database", database])
+    assert content(spark, database) == before
+
+
+@pytest.mark.parametrize("arguments", [["--database", "db", "--first", "2026-07-18"], ["gold", "--database", "db"]])
+def test_command_line_names_what_is_missing(arguments, capsys):
+    with pytest.raises(SystemExit):
+        job.main(arguments)
+    assert "needs --" in capsys.readouterr().err
+
+
+PLAIN = """
+import sys
+from datetime import date
+from pathlib import Path
+from tidemark.operators import tables
+from tidemark.plans import job
+from tidemark.session import build_session
+
+landing, folder = sys.argv[1:]
+settings = {"spark.master": "local[4]", "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "4"}
+spark = build_session("plain", **settings, **{"spark.sql.warehouse.dir": f"{folder}/warehouse"})
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+for scratch in (None, f"{folder}/scratch"):
+    job.run(spark, landing, "plain", [date(2026, 7, 18)], scratch=scratch)
+assert spark.table("plain.bronze_bike_points").count() == 330
+assert not list(Path(folder).rglob("tidemark-*"))
+print("done")
+"""
+
+
+def test_session_without_a_shared_folder(landing, tmp_path):
+    """A fresh process with Spark's own defaults only."""
+    (tmp_path / "conf").mkdir()
+    environment = os.environ | {"SPARK_CONF_DIR": str(tmp_path / "conf"), "PYTHONPATH": str(ROOT)}
+    done = subprocess.run(
+        [sys.executable, "-c", PLAIN, str(landing), str(tmp_path)],
+        env=environment, cwd=tmp_path, capture_output=True, text=True, timeout=600,
+    )
+    assert done.stdout.endswith("done\n"), done.stderr[-3000:]

@@ -99,10 +99,15 @@ def test_empty_snapshot_is_counted_when_kept(spark):
     assert (row.snapshots, row.records, row.short_snapshots, row.violations) == (2, 1, 1, 0)
 
 
-def test_assert_not_empty(spark):
-    quality.assert_not_empty({"a": spark.range(1)})
-    with pytest.raises(quality.QualityError, match="no rows in b, c"):
-        quality.assert_not_empty({"a": spark.range(1), "b": spark.range(0), "c": spark.range(0)})
+def test_strays_are_one_row_per_dataset(spark):
+    frames = records(spark)
+    stray = [(at(D2.replace(day=d), 9), "l", 10) for d in range(21, 30)]
+    frames["line_status"] = frames["line_status"].union(spark.createDataFrame(stray, frames["line_status"].schema))
+    metrics = quality.raw_metrics(frames, [D1])
+    assert metrics.count() == 4
+    row = metrics.where("extracted_date IS NULL").first()
+    assert (row.dataset, row.stray_dates, row.passed) == ("line_status", 9, False)
+    assert (row.first_stray, row.last_stray) == (D2.replace(day=21), D2.replace(day=29))
 
 
 # --- after loading -------------------------------------------------------------

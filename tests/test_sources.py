@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import json
-import re
 from datetime import date
 
 import pytest
 
-from tests.plans import formatted_plan
 from tidemark import schemas
 from tidemark.sources import (
     flatten_air_quality,
@@ -145,6 +143,12 @@ def test_empty_documents_can_be_kept(spark):
         (flatten_line_status, "null"),
         (flatten_line_status, None),
         (flatten_line_status, "[null]"),
+        (flatten_line_status, '{"httpStatusCode": 429, "message": "slow down"}'),
+        (flatten_line_status, ' {"id": "a"}'),
+        (flatten_bike_points, '{"id": "BikePoints_1"}'),
+        (flatten_bike_points, '[{"additionalProperties": [null]}]'),
+        (flatten_bike_points, '[{"additionalProperties": [{"value": "3"}]}]'),
+        (flatten_air_quality, '[{"currentForecast": []}]'),
         (flatten_line_status, '[{"lineStatuses": [null]}]'),
         (flatten_line_status, '[{"lineStatuses": [{"statusSeverity": "bad"}]}]'),
         (flatten_bike_points, "[null]"),
@@ -180,8 +184,20 @@ def test_read_snapshots_prunes_by_date(spark, tmp_path):
     }
     assert [r.line_id for r in frames["line_status"].collect()] == ["2026-07-20"]
     assert {n: f.count() for n, f in read_snapshots(spark, str(tmp_path)).items()}["bike_points"] == 4
-    plan = formatted_plan(read_documents(spark, str(tmp_path), "line_status", wanted))
-    assert re.search(r"PartitionFilters: \[.*date#\d+ = 2026-07-20", plan)
+    files = read_documents(spark, str(tmp_path), "line_status", wanted).inputFiles()
+    assert [f.split("/")[-2] for f in files] == ["date=2026-07-20"]
+
+
+def test_other_folders_are_not_looked_into(spark, tmp_path):
+    at = "2026-07-20T08:00:00+00:00"
+    land(tmp_path, "line_status", "2026-07-20", {"extracted_at": at, "payload": "[]"})
+    land(tmp_path, "line_status", "2024-01-99", {"extracted_at": at, "payload": "[]"})
+    read = lambda *days: read_documents(spark, str(tmp_path), "line_status", days)
+    assert read(date(2026, 7, 20)).count() == 1
+    # Dates that nothing landed for, and a dataset without a folder, have no documents.
+    assert read(date(2026, 7, 20), date(2026, 7, 21)).count() == 1
+    assert read(date(2026, 7, 21)).count() == 0
+    assert read_documents(spark, str(tmp_path), "air_quality", [date(2026, 7, 20)]).count() == 0
 
 
 def test_malformed_envelope_fails(spark, tmp_path):

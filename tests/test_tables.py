@@ -232,3 +232,39 @@ def test_failed_swap_is_undone(spark, flat, monkeypatch):
     monkeypatch.undo()
     assert spark.table(f"{flat}.{name}").count() == 3
     assert not spark.catalog.tableExists(f"{flat}.{name}_pre_partition_backup")
+
+
+def broken_off(spark, database, name, monkeypatch, keep_copy):
+    """A swap that ends after its first rename, with or without its copy."""
+    real = type(spark).sql
+
+    def failing(self, text, *args, **kwargs):
+        if "RENAME TO" in text and "_pre_partition_backup`" not in text.split("RENAME TO")[1]:
+            raise KeyboardInterrupt
+        return real(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", failing)
+    with pytest.raises(KeyboardInterrupt):
+        tables.repartition_by_date(spark, database, name, "extracted_date", ("forecast_type",))
+    monkeypatch.undo()
+    if not keep_copy:
+        spark.sql(f"DROP TABLE {database}.{name}_new")
+    assert not spark.catalog.tableExists(f"{database}.{name}")
+
+
+@pytest.mark.parametrize("keep_copy", [True, False])
+def test_broken_off_swap_is_finished(spark, flat, monkeypatch, keep_copy):
+    name = "bronze_air_quality"
+    broken_off(spark, flat, name, monkeypatch, keep_copy)
+    assert tables.repartition_by_date(spark, flat, name, "extracted_date", ("forecast_type",)) is not keep_copy
+    assert tables.is_partitioned(spark, f"{flat}.{name}")
+    assert tables.read_table(spark, flat, schemas.BRONZE_AIR_QUALITY).count() == 3
+
+
+@pytest.mark.parametrize("keep_copy", [True, False])
+def test_no_table_is_created_over_a_broken_off_swap(spark, flat, monkeypatch, keep_copy):
+    name = "bronze_air_quality"
+    broken_off(spark, flat, name, monkeypatch, keep_copy)
+    tables.ensure_tables(spark, flat)
+    assert tables.read_table(spark, flat, schemas.BRONZE_AIR_QUALITY).count() == 3
+    assert tables.is_partitioned(spark, f"{flat}.{name}") is keep_copy

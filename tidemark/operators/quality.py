@@ -1,7 +1,8 @@
 """Quality gates before and after loading.
 
 Metrics are ordinary aggregates over all dates at once. Only the rows that
-fail a gate reach the driver, at most one per dataset or table and date.
+fail a gate reach the driver: at most one per dataset or table and requested
+date, and one per dataset for all dates that were not requested.
 """
 
 from __future__ import annotations
@@ -48,23 +49,31 @@ def raw_metrics(
 
     A snapshot is what shares one ``extracted_at``. Frames flattened with
     ``keep_empty`` also count snapshots without records. Dates in ``dates``
-    that nothing landed for appear with zero snapshots, and a snapshot of any
-    other date does not pass.
+    that nothing landed for appear with zero snapshots. Snapshots of any other
+    date do not pass; they are one row for each dataset, without a date but
+    with the number of such dates, the first and the last.
     """
     per_dataset = [
         _dataset_metrics(records[dataset], dataset, min_records[dataset]) for dataset in schemas.DATASETS
     ]
     found = reduce(DataFrame.unionByName, per_dataset)
     dates = list(dates)
-    asked_for = F.lit(True)
+    measures = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in
+                ("snapshots", "records", "short_snapshots", "violations")]
+    keys, asked_for = ["dataset", "extracted_date"], F.lit(True)
     if dates:
         missing = _expected(found.sparkSession, "dataset", schemas.DATASETS, "extracted_date", dates)
         found = found.unionByName(missing, allowMissingColumns=True)
-        asked_for = F.col("extracted_date").isin(*dates)
-    measures = ("snapshots", "records", "short_snapshots", "violations")
+        asked_for = F.coalesce(F.col("extracted_date").isin(*dates), F.lit(False))
+        found = found.withColumn("stray", F.when(~asked_for, F.col("extracted_date"))).withColumn(
+            "extracted_date", F.when(asked_for, F.col("extracted_date"))
+        )
+        measures += [F.count("stray").alias("stray_dates"), F.min("stray").alias("first_stray"),
+                     F.max("stray").alias("last_stray")]
+        asked_for = F.col("extracted_date").isNotNull()
     return (
-        found.groupBy("dataset", "extracted_date")
-        .agg(*(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in measures))
+        found.groupBy(*keys)
+        .agg(*measures)
         .withColumn(
             "passed",
             asked_for
@@ -130,13 +139,6 @@ def assert_valid(metrics: DataFrame) -> None:
         raise QualityError("quality gate failed:\n" + "\n".join(lines))
 
 
-def assert_not_empty(frames: dict[str, DataFrame]) -> None:
-    """Raise with the name of every frame without rows."""
-    empty = [name for name, frame in frames.items() if frame.isEmpty()]
-    if empty:
-        raise QualityError(f"no rows in {', '.join(empty)}")
-
-
 def _expected(spark: SparkSession, label: str, names: Iterable[str], day: str, dates: list[date]) -> DataFrame:
     rows = [(name, when) for name in names for when in dates]
     return spark.createDataFrame(rows, f"{label} string, {day} date")

@@ -21,10 +21,11 @@ def qualified(database: str, table: str) -> str:
 
 
 def ensure_tables(spark: SparkSession, database: str, location: str | None = None) -> None:
-    """Create the database and its eight tables where absent."""
+    """Create the database and its eight tables where absent; a swap that broke off is finished first."""
     at = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{at}")
     for table in schemas.TABLES.values():
+        finish_swap(spark, database, table.name)
         columns = ", ".join(
             f"`{field.name}` {field.dataType.simpleString()}{'' if field.nullable else ' NOT NULL'}"
             for field in table.schema
@@ -103,6 +104,7 @@ def repartition_by_date(
     current = qualified(database, table)
     copy = qualified(database, f"{table}_new")
     backup = qualified(database, f"{table}_pre_partition_backup")
+    finish_swap(spark, database, table)
     if is_partitioned(spark, current):
         return False
 
@@ -128,11 +130,34 @@ def repartition_by_date(
     except Exception:
         spark.sql(f"ALTER TABLE {backup} RENAME TO {current}")
         raise
-    # The rename moved the folder, but some catalogs keep the old partition paths.
-    spark.sql(f"MSCK REPAIR TABLE {current} SYNC PARTITIONS")
+    _find_partitions(spark, current)
     return True
 
 
+def finish_swap(spark: SparkSession, database: str, table: str) -> None:
+    """Finish a swap that broke off between its two renames.
+
+    Then the table is absent and its rows are in the backup. The copy takes its
+    place if it has as many rows, else the backup goes back.
+    """
+    current = qualified(database, table)
+    copy = qualified(database, f"{table}_new")
+    backup = qualified(database, f"{table}_pre_partition_backup")
+    exists = spark.catalog.tableExists
+    if exists(current) or not exists(backup):
+        return
+    if exists(copy) and spark.table(copy).count() == spark.table(backup).count():
+        spark.sql(f"ALTER TABLE {copy} RENAME TO {current}")
+        _find_partitions(spark, current)
+    else:
+        spark.sql(f"ALTER TABLE {backup} RENAME TO {current}")
+
+
+def _find_partitions(spark: SparkSession, table: str) -> None:
+    """A rename moves the folder, but some catalogs keep the old partition paths."""
+    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+
+
 def repartition_all(spark: SparkSession, database: str) -> dict[str, bool]:
     return {
         table.name: repartition_by_date(spark, database, table.name, table.date_column, table.sort_columns)

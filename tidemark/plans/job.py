@@ -32,11 +32,12 @@ def run(
     location: str | None = None,
     min_records: dict[str, int] = quality.MIN_RECORDS,
     checked_gold: Iterable[schemas.Table] = quality.DAILY_GOLD,
+    scratch: str | None = None,
 ) -> None:
     """Gate, clean and load the landed documents of ``dates``, then rebuild their gold."""
     require_settings(spark)
     dates = sorted(set(dates))
-    folder = scratch_folder(spark)
+    folder = scratch_folder(spark, scratch, location)
     try:
         # Flat records are written once, so the JSON is parsed once for gate and load.
         records = stage(read_snapshots(spark, landing, dates, keep_empty=True), folder)
@@ -130,21 +131,55 @@ def _side_by_side(spark: SparkSession, actions: Iterable[Callable[[], None]]) ->
         job.result()
 
 
+def rebuild_gold(
+    spark: SparkSession,
+    database: str,
+    dates: Iterable[date],
+    checked_gold: Iterable[schemas.Table] = quality.DAILY_GOLD,
+) -> None:
+    """Rebuild the gold tables of ``dates`` from bronze and check what was loaded."""
+    dates = sorted(set(dates))
+    build_gold(spark, database, dates)
+    quality.assert_valid(quality.load_metrics(spark, database, dates, checked_gold))
+
+
 def _parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("--landing", required=True, help="folder of landed documents")
+    parser.add_argument(
+        "command", nargs="?", choices=("load", "gold", "repartition"), default="load",
+        help="load documents (the default), rebuild gold from bronze, or partition old tables by date",
+    )
+    parser.add_argument("--landing", help="folder of landed documents, to load")
     parser.add_argument("--database", required=True, help="database of the bronze and gold tables")
     parser.add_argument("--location", help="folder of the database, where it is to be created")
-    parser.add_argument("--first", required=True, type=date.fromisoformat, help="first date to load")
-    parser.add_argument("--last", type=date.fromisoformat, help="last date to load, the first by default")
-    return parser.parse_args(arguments)
+    parser.add_argument("--scratch", help="shared folder for data in between, spark.checkpoint.dir by default")
+    parser.add_argument("--first", type=date.fromisoformat, help="first date to load or rebuild")
+    parser.add_argument("--last", type=date.fromisoformat, help="last date, the first by default")
+    parser.add_argument("--check-hourly", action="store_true", help="check the hourly gold tables too")
+    options = parser.parse_args(arguments)
+    if options.command == "load" and not options.landing:
+        parser.error("load needs --landing")
+    if options.command != "repartition" and not options.first:
+        parser.error(f"{options.command} needs --first")
+    return options
 
 
 def main(arguments: list[str] | None = None) -> None:
     options = _parse_arguments(arguments)
+    spark = build_session()
+    if options.command == "repartition":
+        tables.repartition_all(spark, options.database)
+        return
     last = options.last or options.first
     dates = [options.first + timedelta(days=n) for n in range((last - options.first).days + 1)]
-    run(build_session(), options.landing, options.database, dates, options.location)
+    checked = quality.DAILY_GOLD + (quality.HOURLY_GOLD if options.check_hourly else ())
+    if options.command == "gold":
+        rebuild_gold(spark, options.database, dates, checked)
+    else:
+        run(
+            spark, options.landing, options.database, dates, options.location,
+            checked_gold=checked, scratch=options.scratch,
+        )
 
 
 if __name__ == "__main__":

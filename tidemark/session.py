@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,20 +33,28 @@ def require_settings(spark: SparkSession) -> None:
         raise ValueError(f"session settings must be {REQUIRED}, found {wrong}")
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """A new path under the shared folder named by ``spark.checkpoint.dir``.
+def scratch_folder(spark: SparkSession, scratch: str | None = None, location: str | None = None) -> str:
+    """A new path for data in between, in a folder that all executors reach.
 
-    Only a local session without that setting gets a folder of its own.
+    That is ``scratch``, else what ``spark.checkpoint.dir`` names, else a
+    folder beside the tables: at ``location``, or where databases are made.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = scratch or spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        tables = location or spark.conf.get("spark.sql.warehouse.dir", None)
+        if not tables:
+            raise ValueError("no folder for data in between: give scratch, location or spark.checkpoint.dir")
+        shared = f"{tables.rstrip('/')}/_scratch"
     return f"{shared.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it is absent; what is inside them is not listed."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [entry.getPath().getName() for entry in system.listStatus(target)] if system.exists(target) else []

@@ -19,22 +19,26 @@ from pyspark.sql.types import DataType
 
 from tidemark import schemas
 from tidemark.functions import integer_property, required
-from tidemark.session import require_settings
+from tidemark.session import folder_names, require_settings
 
 _FAIL = {"mode": "FAILFAST"}
+# How a document of each kind begins. The parser alone would take an object for an array of one.
+_ARRAY, _OBJECT = r"^\s*\[", r"^\s*\{"
 
 
 def read_documents(
     spark: SparkSession, landing: str, dataset: str, dates: Iterable[date] | None = None
 ) -> DataFrame:
-    """Envelopes of one dataset; only the folders of ``dates`` are listed as input."""
-    envelopes = (
-        spark.read.schema(schemas.LANDED)
-        .options(**_FAIL)
-        .json(f"{landing.rstrip('/')}/{dataset}")
-    )
-    if dates is not None:
-        envelopes = envelopes.where(F.col("date").isin(*dates))
+    """Envelopes of one dataset; with ``dates``, only files in the folders of these are listed and read."""
+    root = f"{landing.rstrip('/')}/{dataset}"
+    reader = spark.read.schema(schemas.LANDED).options(**_FAIL)
+    if dates is None:
+        return reader.json(root).select("extracted_at", "payload")
+    wanted = {f"date={day}" for day in dates}
+    present = sorted(wanted.intersection(folder_names(spark, root)))
+    if not present:
+        return spark.createDataFrame([], schemas.LANDED).select("extracted_at", "payload")
+    envelopes = reader.option("basePath", root).json([f"{root}/{name}" for name in present])
     return envelopes.select("extracted_at", "payload")
 
 
@@ -51,7 +55,7 @@ def read_snapshots(
 
 def flatten_line_status(documents: DataFrame, keep_empty: bool = False) -> DataFrame:
     """One row per status of a line; a line without statuses has good service."""
-    lines = _explode(documents, _parse(schemas.LINE_DOCUMENT), "line", keep_empty)
+    lines = _explode(documents, _parse(schemas.LINE_DOCUMENT, _ARRAY), "line", keep_empty)
     statuses = lines.select(
         *_kept(keep_empty),
         "line",
@@ -75,8 +79,12 @@ def flatten_line_status(documents: DataFrame, keep_empty: bool = False) -> DataF
 
 def flatten_bike_points(documents: DataFrame, keep_empty: bool = False) -> DataFrame:
     """One row per station, its counts taken from the key/value list."""
-    points = _explode(documents, _parse(schemas.BIKE_DOCUMENT), "point", keep_empty)
-    properties = F.col("point.additionalProperties")
+    points = _explode(documents, _parse(schemas.BIKE_DOCUMENT, _ARRAY), "point", keep_empty)
+    listed = F.col("point.additionalProperties")
+    keyless = F.exists(listed, lambda entry: entry["key"].isNull())
+    checked = F.when(keyless, F.raise_error(F.lit("property without a key"))).otherwise(listed)
+    points = points.withColumn("properties", checked)
+    properties = F.col("properties")
     return points.select(
         *_kept(keep_empty),
         _text("point.id").alias("bike_point_id"),
@@ -92,7 +100,7 @@ def flatten_bike_points(documents: DataFrame, keep_empty: bool = False) -> DataF
 def flatten_air_quality(documents: DataFrame, keep_empty: bool = False) -> DataFrame:
     """One row per forecast; a document without forecasts has none."""
     forecasts = _explode(
-        documents, _parse(schemas.AIR_DOCUMENT)["currentForecast"], "forecast", keep_empty
+        documents, _parse(schemas.AIR_DOCUMENT, _OBJECT)["currentForecast"], "forecast", keep_empty
     )
     return forecasts.select(
         *_kept(keep_empty),
@@ -114,9 +122,9 @@ FLATTENERS = {
 }
 
 
-def _parse(schema: DataType) -> Column:
-    document = F.from_json("payload", schema, _FAIL)
-    return required(document, "payload is not a JSON document")
+def _parse(schema: DataType, opening: str) -> Column:
+    document = F.when(F.col("payload").rlike(opening), F.from_json("payload", schema, _FAIL))
+    return required(document, "payload is not a JSON document of the expected kind")
 
 
 def _explode(documents: DataFrame, elements: Column, name: str, keep_empty: bool) -> DataFrame:
