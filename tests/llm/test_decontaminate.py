@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+
+from tests.llm import cases
+from tidemark.llm import decontaminate as D
+
+
+def words_of(text):
+    low = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    return "".join(c if c.isascii() and c.isalnum() or ord(c) > 127 else " " for c in low).split()
+
+
+def brute(text, items, window=13):
+    """Words, spans of hit words and items, by comparing every window with every place."""
+    words, hit, names = words_of(text), set(), set()
+    for name, item in items:
+        own = words_of(item)
+        for at in range(max(len(own) - window, 0) + 1 if own else 0):
+            part = own[at : at + window]
+            for i in range(len(words) - len(part) + 1):
+                if words[i : i + len(part)] == part:
+                    hit.update(range(i, i + len(part)))
+                    names |= {name} - {None}
+    return len(words), hit, names
+
+
+def covered(row):
+    return {i for s in row.hit_spans for i in range(s.first, s.end)}
+
+
+def corpus(rng):
+    vocabulary = ["alpha", "beta", "gamma", "delta", "Eps", "ζη", "7"]
+    draw = lambda n: ". ".join(rng.choices(vocabulary, k=n))
+    items = [(str(i), draw(rng.randrange(2, 20))) for i in range(12)] + [("13", "beta"), ("none", "..."), (None, draw(6)), ("1", draw(9))]
+    texts = [draw(rng.randrange(60)) + " other " + rng.choice(items)[1] + draw(5) for _ in range(40)]
+    return texts, items
+
+
+def test_equals_brute_force(spark):
+    texts, items = corpus(random.Random(3))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    for block_words in (1_000_000, 20):
+        for row in D.judged(D.mark(docs, bench, window=5, block_words=block_words)).collect():
+            n, hit, names = brute(row.text, items, 5)
+            assert (row.n_words, covered(row), set(row.hit_items)) == (n, hit, names)
+            assert row.n_hit == len(hit) and row.contaminated == (len(hit) > 0 and 20 * len(hit) >= n)
+            assert words_of(row.text_left) == [w for i, w in enumerate(words_of(row.text)) if i not in hit]
+
+
+def test_index_on_random_strings():
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        text = np.append(rng.integers(0, 4, rng.integers(1, 60)), 0)
+        index = D.FMIndex(text, 4)
+        for size in (1, 2, 3):
+            patterns = rng.integers(1, 4, (5, size))
+            found, low, high = index.search(patterns, np.full(5, size))
+            got = {int(f): sorted(index.locate(np.arange(a, b)).tolist()) for f, a, b in zip(found, low, high, strict=True)}
+            for i, p in enumerate(patterns):
+                places = [at for at in range(len(text) - size + 1) if (text[at : at + size] == p).all()]
+                assert got.get(i, []) == places
+
+
+def test_odd_rows(spark):
+    docs = cases.documents(spark)
+    bench = spark.createDataFrame([("a", cases.COPY), ("b", None), ("c", ""), (None, "word"), ("d", cases.COPY)], "item_id string, text string")
+    rows = cases.by_id(D.judged(D.mark(docs, bench)))
+    assert [rows[i].n_words for i in (0, 1, 2, 3)] == [0, 0, 0, 1]
+    assert rows[0].text_left is None and rows[1].text_left == ""
+    assert (rows[3].n_hit, rows[3].hit_items, rows[3].contaminated, rows[3].text_left) == (1, [], True, "")
+    assert (rows[7].n_hit, rows[7].hit_items, rows[9].n_hit) == (14, ["a", "d"], 14)
+    assert not rows[5].contaminated and rows[5].n_words == 40_000 and rows[5].text_left == cases.LONG
+    assert D.mark(cases.empty(spark), bench).count() == 0
+    assert not any(r.hit_spans for r in D.mark(docs, bench.where("false")).collect())

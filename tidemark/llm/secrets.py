@@ -2,7 +2,7 @@
 
 Both models are first-order over the characters of tokens: one of random
 strings, one of ordinary identifiers, trained from labelled samples by counting
-neighbouring characters (half a count added to each pair). A token is a secret
+neighbouring characters, with the counts of single ones behind them. A token is a secret
 if its log-likelihood ratio, in total and per character, is high enough.
 
 All of it is column expressions; the texts are neither joined nor shuffled.
@@ -43,6 +43,8 @@ ALPHABET = "+-/0123456789=ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz"
 UNIT = 1000
 # Least log-likelihood ratio of a secret, in total and per pair of characters.
 LEAST_TOTAL, LEAST_MEAN = 15.0, 0.5
+# How many counts of a first character the chances of the second alone weigh.
+BACKOFF = 5.0
 # Texts at most that give samples.
 SAMPLE_TEXTS = 2000
 
@@ -111,15 +113,15 @@ def train(samples: DataFrame) -> Model:
     size = len(ALPHABET) + 1
     if not counts:
         return Model((0,) * size**2)
-    rows = {
-        (label, a): sum(counts.get((label, a, b), 0) for b in range(size)) for label in (True, False) for a in range(size)
-    }
-    chance = lambda label, a, b: (counts.get((label, a, b), 0) + 0.5) / (rows[label, a] + 0.5 * size)
-    return Model(
-        tuple(
-            round(UNIT * math.log(chance(True, a, b) / chance(False, a, b))) for a in range(size) for b in range(size)
-        )
-    )
+    every = range(size)
+    first = {(label, a): sum(counts.get((label, a, b), 0) for b in every) for label in (True, False) for a in every}
+    second = {(label, b): sum(counts.get((label, a, b), 0) for a in every) for label in (True, False) for b in every}
+
+    def chance(label: bool, a: int, b: int) -> float:
+        alone = (second[label, b] + 0.5) / (sum(second[label, c] for c in every) + 0.5 * size)
+        return (counts.get((label, a, b), 0) + BACKOFF * alone) / (first[label, a] + BACKOFF)
+
+    return Model(tuple(round(UNIT * math.log(chance(True, a, b) / chance(False, a, b))) for a in every for b in every))
 
 
 def labelled_samples(docs: DataFrame, text: str = "text", id_column: str = "doc_id", limit: int = SAMPLE_TEXTS) -> DataFrame:
