@@ -206,6 +206,80 @@ SELECT id AS revisit_id, url, r_id AS response_id, status,
 FROM judged
 """
 
+def _template_rows() -> str:
+    rows = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(licenses.TEMPLATES))
+    return f"(VALUES {rows}) AS v(template, label, text)"
+
+
+def _phrase_rows() -> str:
+    return "(VALUES " + ", ".join(f"('{p}', '{label}')" for p, label in licenses.PHRASES.items()) + ") AS v(phrase, label)"
+
+
+OP5_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS w FROM documents),
+phrases AS (SELECT string_split(phrase, ' ') AS p, label FROM {_phrase_rows()}),
+places AS (
+  SELECT r, i - 1 AS first, label FROM docs, phrases, unnest(range(1, len(w) - len(p) + 2)) AS t(i)
+  WHERE list_slice(w, i, i + len(p) - 1) = p),
+base AS (
+  SELECT r, count(*) AS n_base, min(first) AS first_word, max(first) AS last_word, list(DISTINCT label) AS labels
+  FROM places GROUP BY r),
+templates AS (SELECT template, label, {WORDS_SQL} AS w FROM {_template_rows()}),
+template_grams AS (
+  SELECT template, label, len(w) - 3 AS n, i AS place, list_slice(w, i, i + 3) AS g
+  FROM templates, unnest(range(1, len(w) - 2)) AS t(i)),
+matches AS (
+  SELECT r, template, label, n, place, i AS nth
+  FROM (SELECT r, i, list_slice(w, i, i + 3) AS g FROM docs, unnest(range(1, len(w) - 2)) AS t(i)) JOIN template_grams USING (g)),
+steps AS (
+  SELECT *, nth - place AS diagonal,
+    CASE WHEN nth - place - lag(nth - place) OVER (PARTITION BY r, template ORDER BY nth - place) > 3 THEN 1 ELSE 0 END AS new
+  FROM matches),
+grouped AS (SELECT *, sum(new) OVER (PARTITION BY r, template ORDER BY diagonal) AS part FROM steps),
+merged AS (
+  SELECT r, template, label, count(DISTINCT place) / n AS cover, max(nth) + 4 - min(nth) AS size, n
+  FROM grouped GROUP BY r, template, label, n, part),
+found AS (
+  SELECT r, max(cover) AS cover, list(DISTINCT label) AS labels FROM merged
+  WHERE cover >= 0.6 AND size <= 1.5 * (n + 3) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(found.labels, [])))), ',') AS labels,
+  greatest(coalesce(cover, 0), CASE WHEN n_base > 0 THEN 0.5::DOUBLE ELSE 0::DOUBLE END) AS score
+FROM docs LEFT JOIN base USING (r) LEFT JOIN found USING (r)
+"""
+
+SPACED_SQL = r"coalesce(regexp_extract_all({}, '[^\x20\x09-\x0D]+'), [])"
+
+OP7_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, {SPACED_SQL.format('text')} AS w,
+    {SPACED_SQL.format(LOWERED)} AS content FROM documents),
+windows AS (SELECT r, i, list_slice(w, i, i + 7) AS g FROM docs, unnest(range(1, len(w) - 6)) AS t(i)),
+twice AS (SELECT r, g FROM windows GROUP BY r, g HAVING count(*) > 1),
+repeated AS (
+  SELECT r, count(DISTINCT j) AS n FROM windows JOIN twice USING (r, g), unnest(range(i, i + 8)) AS u(j) GROUP BY r),
+pieces AS (SELECT r, source, content, string_split(text, chr(10)) AS p FROM docs),
+lines AS (
+  SELECT r, source, content, text AS line, {SPACED_SQL.format(LOWERED)} AS words
+  FROM (SELECT r, source, content, unnest(p) AS text FROM pieces)),
+full_lines AS (SELECT * FROM lines WHERE len(words) > 0),
+later AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY r),
+common AS (
+  SELECT source, words FROM full_lines WHERE len(words) >= 5 GROUP BY source, words HAVING count(DISTINCT content) > 10),
+taken AS (
+  SELECT r, sum(len(l.words)) AS n FROM full_lines AS l
+  JOIN common AS c ON l.words = c.words AND l.source IS NOT DISTINCT FROM c.source GROUP BY r),
+counted AS (
+  SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(later.n, 0) AS n_dup_lines,
+    coalesce(repeated.n, 0) AS n_repeat_words, CAST(coalesce(taken.n, 0) AS BIGINT) AS n_common_words
+  FROM docs LEFT JOIN later USING (r) LEFT JOIN repeated USING (r) LEFT JOIN taken USING (r))
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 2 * (n_words - n_common_words) >= n_words AS kept
+FROM counted
+"""
+
 OP8_SQL = f"""
 WITH RECURSIVE docs AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -230,6 +304,8 @@ FROM docs JOIN smallest USING (r) LEFT JOIN sizes USING (r)
 ORACLES: dict[str, str] = {
     "op3_line_dedup": OP3_SQL,
     "op4_warc": OP4_SQL,
+    "op5_licenses": OP5_SQL,
+    "op7_quality_rules": OP7_SQL,
     "op8_minhash": OP8_SQL,
     "op2_decontaminate": OP2_SQL,
 }
