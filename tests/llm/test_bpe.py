@@ -42,7 +42,7 @@ def test_automaton_finds_all_tokens_that_end_at_a_place():
     found = bpe.SuffixAutomaton(tokens).endings("ababbxca")
     for end, here in enumerate(found, 1):
         expected = [(len(t), i) for t, i in tokens.items() if "ababbxca"[:end].endswith(t)]
-        assert here == sorted(expected, reverse=True)
+        assert list(here) == sorted(expected, reverse=True)
 
 
 def test_operators_bear_odd_rows(spark, library):

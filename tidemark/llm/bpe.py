@@ -8,7 +8,7 @@ the last tokens back from the end of the word gives exactly the ids of merging.
 
 Words come from the tokenizer file's own steps: special tokens are cut out of
 the raw text, the rest is composed (NFC), lower-cased and split. Results per
-word are remembered in each Python worker, up to a fixed number of words.
+word are remembered during a task, up to a fixed number of words.
 
 Defined cases: null and empty text have no tokens and decode to the empty
 text; repeated rows get equal results; other columns are kept, but those with
@@ -17,11 +17,11 @@ the names of the results are replaced; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import json
 import re
 import unicodedata
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -30,8 +30,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from tidemark.llm.common import with_block_columns
 
-# Words that one worker remembers at a time.
-REMEMBERED = 300_000
+# Words, and pairs of tokens, that one task remembers at a time.
+REMEMBERED = 160_000
 
 # Fixed values of the file format: contractions, runs of letters, single
 # digits, runs of anything else but white space; the suffix of a word's end.
@@ -42,6 +42,16 @@ END = "</w>"
 _ENDING = 0xE000
 
 
+# The same pieces for texts without characters beyond U+024F, where the classes can be written out for ``re``.
+_LATIN = [chr(c) for c in range(0x250)]
+_LETTERS = re.escape("".join(c for c in _LATIN if unicodedata.category(c)[0] == "L"))
+_NUMBERS = re.escape("".join(c for c in _LATIN if unicodedata.category(c)[0] == "N"))
+LATIN_PIECE = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\t-\r \x85\xa0{_LETTERS}{_NUMBERS}]+"
+)
+BEYOND_LATIN = re.compile("[^\x00-\u024f]")
+
+
 def byte_letters() -> list[str]:
     """The printable character that stands for each byte in the vocabulary."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -68,10 +78,10 @@ class SuffixAutomaton:
                 state = self.link[state]
             own.setdefault(state, []).append((size, number))
         self.own = {s: sorted(v, reverse=True) for s, v in own.items()}
-        # The nearest state on the way to the root, itself included, where a token ends.
-        self.near = [0] * len(self.link)
+        # All tokens that end in a state or on its way to the root, longest first.
+        self.tokens: list[tuple[tuple[int, int], ...]] = [()] * len(self.link)
         for state in sorted(range(1, len(self.link)), key=self.longest.__getitem__):
-            self.near[state] = state if state in self.own else self.near[self.link[state]]
+            self.tokens[state] = (*self.own.get(state, ()), *self.tokens[self.link[state]])
 
     def _new(self, longest: int, link: int) -> int:
         self.longest.append(longest)
@@ -110,9 +120,9 @@ class SuffixAutomaton:
             self.link[added] = known
         return added
 
-    def endings(self, text: str) -> list[list[tuple[int, int]]]:
+    def endings(self, text: str) -> list[tuple[tuple[int, int], ...]]:
         """For each place of ``text``, length and number of every token that ends there, longest first."""
-        go, link, longest, near, own = self.go, self.link, self.longest, self.near, self.own
+        go, link, longest, tokens = self.go, self.link, self.longest, self.tokens
         state, size, found = 0, 0, []
         for letter in text:
             symbol = ord(letter)
@@ -122,14 +132,12 @@ class SuffixAutomaton:
                 size = longest[state]
                 target = go.get(state << 16 | symbol)
             if target is None:
-                found.append([])
+                found.append(())
                 continue
             state, size = target, size + 1
-            here, at = [], near[state]
-            while at:
-                here += [x for x in own[at] if x[0] <= size]
-                at = near[link[at]] if link[at] > 0 else 0
-            found.append(here)
+            here = tokens[state]
+            # Only the state's own tokens can be longer than what has been read.
+            found.append(here if not here or here[0][0] <= size else tuple(x for x in here if x[0] <= size))
         return found
 
 
@@ -156,8 +164,11 @@ class Encoder:
             self.merges[pair] = rank
             self.parts[self.vocabulary[a + b]] = (rank, *pair)
         self.automaton = SuffixAutomaton({self._symbols(t): i for t, i in self.vocabulary.items()})
-        self.follows = lru_cache(maxsize=500_000)(self._follows)
+        self.rights = [self._edge(t, 1) for t in range(len(self.vocabulary))]
+        self.lefts = [self._edge(t, 0) for t in range(len(self.vocabulary))]
+        self.allowed: dict[int, bool] = {}
         self.words: dict[str, tuple[str, str, int]] = {}
+        self.older: dict[str, tuple[str, str, int]] = {}
         self.pieces = regex.compile(PIECE)
 
     def _symbols(self, token: str) -> str:
@@ -183,40 +194,52 @@ class Encoder:
         before either went into its own side. At equal ranks the merge further
         left comes first.
         """
-        rights = self._edge(right, 0)
-        for a, a_died in self._edge(left, 1):
-            for b, b_died in rights:
-                rank = self.merges.get((a, b))
+        ranks = self.merges.get
+        for a, a_died in self.rights[left]:
+            for b, b_died in self.lefts[right]:
+                rank = ranks((a, b))
                 if rank is not None and rank < a_died and rank <= b_died:
                     return False
         return True
 
+    def follows(self, left: int, right: int) -> bool:
+        key = left << 32 | right
+        known = self.allowed.get(key)
+        if known is None:
+            if len(self.allowed) >= REMEMBERED:
+                self.allowed.clear()
+            known = self.allowed[key] = self._follows(left, right)
+        return known
+
     def word_ids(self, word: str) -> list[int]:
         letters = [self.inner[b] for b in word.encode()]
         letters[-1] = self.final[letters[-1]]
-        last: list[tuple[int, int] | None] = []
+        # Last token of each prefix, and the place where it begins.
+        last, begin = [-1], [0]
         for place, tokens in enumerate(self.automaton.endings("".join(letters)), 1):
-            chosen = None
             for size, token in tokens:
-                before = place - size
-                if before == 0:
-                    chosen = (token, 0)
-                    break
-                if last[before - 1] is not None and self.follows(last[before - 1][0], token):
-                    chosen = (token, before)
+                before = last[place - size]
+                if size == place or before >= 0 and self.follows(before, token):
+                    last.append(token)
+                    begin.append(place - size)
                     break
-            last.append(chosen)
+            else:
+                last.append(-1)
+                begin.append(0)
         ids, place = [], len(letters)
         while place:
-            token, place = last[place - 1]
-            ids.append(token)
+            ids.append(last[place])
+            place = begin[place]
         return ids[::-1]
 
     def _word(self, word: str) -> tuple[str, str, int]:
-        ids = self.word_ids(word)
-        made = " ".join(map(str, ids)), " ".join(self.names[i] for i in ids), len(ids)
-        if len(self.words) >= REMEMBERED:
-            self.words.clear()
+        made = self.older.get(word)
+        if made is None:
+            ids = self.word_ids(word)
+            made = " ".join(map(str, ids)), " ".join([self.names[i] for i in ids]), len(ids)
+        if len(self.words) >= REMEMBERED // 2:
+            # Words used since the last turn stay at hand for one more.
+            self.older, self.words = self.words, {}
         self.words[word] = made
         return made
 
@@ -233,8 +256,9 @@ class Encoder:
     def _plain(self, text: str) -> list[tuple[str, str, int]]:
         # Lower case letter by letter: no rule for a sigma at a word's end.
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        known = self.words
-        return [known.get(w) or self._word(w) for w in self.pieces.findall(text)]
+        split = self.pieces if BEYOND_LATIN.search(text) else LATIN_PIECE
+        known = self.words.get
+        return [known(w) or self._word(w) for w in split.findall(text)]
 
     def encode(self, text: str) -> list[int]:
         return [int(i) for ids, _, _ in self.parts_of(text) for i in ids.split(" ")]
@@ -247,11 +271,13 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(source: str) -> Encoder:
-    """One encoder per tokenizer file and process."""
+    """An encoder whose tables are made once per tokenizer file and process; what it remembers ends with the task."""
     key = hashlib.sha256(source.encode()).hexdigest()
     if key not in _encoders:
         _encoders[key] = Encoder(source)
-    return _encoders[key]
+    own = copy.copy(_encoders[key])
+    own.allowed, own.words, own.older = {}, {}, {}
+    return own
 
 
 def _texts(batch: pa.RecordBatch, column: str) -> list[str]:
