@@ -20,7 +20,7 @@ from tidemark.llm.queries import tokenizer_file
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 # A document stays if its language has this probability.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.4
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
