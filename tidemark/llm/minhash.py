@@ -43,6 +43,8 @@ TABLES, ROWS = 8, 2
 # A table key of more classes than this goes the way of stars and rarest shingles.
 FEW = 16
 BITS = 4096
+# 64-bit numbers that the bitmap is folded to where it goes with every shingle.
+FOLDED = 8
 
 _RNG = np.random.default_rng(8)
 _XOR = _RNG.integers(0, 2**63, 1024, dtype=np.uint64)
@@ -242,6 +244,9 @@ def _rarest_shared(members: DataFrame, sets: DataFrame, labels: DataFrame, perce
     share a shingle among the first n - ceil(n * percent / 100) + 1 of each,
     and behind their first common shingle enough must remain in both.
     """
+    # The bitmap folded to a few numbers, which the join compares before it gives a pair out.
+    words, each = [f"b{k}" for k in range(FOLDED)], BITS // 64 // FOLDED
+    folded = [F.expr(" | ".join(f"bits[{k + FOLDED * j}]" for j in range(each))).alias(b) for k, b in enumerate(words)]
     rows = (
         members.join(sets.select("class", "n", "shingles"), "class")
         .join(labels.select(F.col("node").alias("class"), "component"), "class", "left")
@@ -262,8 +267,13 @@ def _rarest_shared(members: DataFrame, sets: DataFrame, labels: DataFrame, perce
             F.posexplode(F.expr("slice(own, 1, cast(first - alone as int))")).alias("at", "item"), "alone",
         )
         .select("class", "n", "component", (F.col("n") - F.col("alone") - F.col("at")).alias("rest"), "item.shingle")
+        .join(sets.select("class", *folded), "class")
     )
     left, right = ordered.alias("l"), ordered.alias("r")
+    lacks = lambda one, other: sum(
+        F.bit_count(F.col(f"{one}.{b}").bitwiseAND(F.bitwise_not(F.col(f"{other}.{b}")))) for b in words
+    )
+    possible = F.least(F.col("l.n") - lacks("l", "r"), F.col("r.n") - lacks("r", "l"))
     enough = lambda side: 100 * F.col(f"{side}.rest") >= percent * (
         F.col("l.n") + F.col("r.n") - F.col(f"{side}.rest")
     )
@@ -274,7 +284,8 @@ def _rarest_shared(members: DataFrame, sets: DataFrame, labels: DataFrame, perce
             & (F.col("l.class") < F.col("r.class"))
             & (F.col("l.component") != F.col("r.component"))
             & enough("l")
-            & enough("r"),
+            & enough("r")
+            & _similar(possible, F.col("l.n"), F.col("r.n"), percent),
         )
         .select(F.col("l.class").alias("a"), F.col("r.class").alias("b"))
         .distinct()
