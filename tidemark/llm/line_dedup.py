@@ -73,9 +73,11 @@ def _shared(rows: DataFrame, key: str) -> DataFrame:
 
 def _near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """h1, h2 of the lines one edit away from an earlier one."""
-    halves = distinct.select("h1", "h2", "first", "n", F.posexplode("halves").alias("which", "key"))
+    # Most lines share no half, so only the rows of those that do are fetched for what else is known of them.
+    halves = distinct.select("h1", F.posexplode("halves").alias("which", "key"))
     wanted = (
         _shared(halves, "key")
+        .join(distinct.select("h1", "h2", "first", "n"), "h1")
         .withColumns({"m": F.expr("n - which div 2"), "j": F.expr("which % 2")})
         .groupBy("first.id", "first.content")
         .agg(F.collect_list(F.struct("first", "h1", "h2", "m", "j", "key")).alias("wanted"))
