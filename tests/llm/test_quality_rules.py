@@ -63,3 +63,13 @@ def test_odd_rows(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == counts(texts[r.doc_id])
         assert not (r.base_failed and r.kept)
     assert Q.judge(cases.empty(spark)).count() == 0
+
+
+def test_short_lines_of_a_host_are_taken_away(spark):
+    own = [" ".join(f"w{i}_{j}" for j in range(11)) for i in range(12)]
+    menu = "".join(f"Menu {c}\n" for c in "abcdefgh")
+    rows = [(i, "x", menu + own[i]) for i in range(12)] + [(12, "y", menu + own[0])]
+    expected = verdicts(rows, 10, 1, 0.5)
+    got = {r.doc_id: (r.base_failed, r.kept, r.n_common_words) for r in Q.judge(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
+    assert got == expected
+    assert got[0] == (False, False, 16) and got[12] == (False, True, 0)

@@ -130,13 +130,13 @@ def judge(
     host: str = "source",
     text: str = "text",
     max_documents: int = 10,
-    min_line_words: int = 5,
+    min_line_words: int = 1,
     min_left: float = 0.5,
 ) -> DataFrame:
     """One row per document: id, counts, ``n_common_words``, ``base_failed`` and ``kept``.
 
-    A line of at least ``min_line_words`` words that more than ``max_documents``
-    distinct contents of the host hold is taken away. A document is rejected
+    A line that more than ``max_documents`` distinct contents of the host hold
+    is taken away; ``min_line_words`` spares shorter lines, if asked for. A document is rejected
     if it fails the base rules (under 20 words, or over 30 % of its words in
     repeated windows), or if less than ``min_left`` of its words are left.
     """
