@@ -31,8 +31,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of a line go; a document that loses all its text goes."""
-    cleaned = line_dedup.dedup(docs)
+    """Later copies of a line go, short lines too; a document that loses all its text goes."""
+    cleaned = line_dedup.dedup(docs, exact_chars=1)
     kept = cleaned.where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S"))
     # The length follows the text, where it was known.
     length = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))

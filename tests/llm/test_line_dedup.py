@@ -74,3 +74,13 @@ def test_odd_rows(spark):
     assert texts[0] is None and texts[1] == "" and texts[8] == "" and texts[5] == cases.LONG
     assert texts[None] == "a text without an id"
     assert L.digest(cases.empty(spark)).count() == 0 and L.dedup(cases.empty(spark)).count() == 0
+
+
+def test_short_lines_go_as_equal_lines_only(spark):
+    texts = {1: "menu\n\na line of many letters\nmenus", 2: "menu \n\na line of many letter\nmenu", 3: "x\nmenus\n\nx", 4: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_lines, r.removed) for r in L.digest(docs, exact_chars=1).collect()}
+    assert got == {1: (3, ""), 2: (3, "0,2,3"), 3: (3, "1,3"), 4: (0, "")}
+    cleaned = {r.doc_id: r.text for r in L.dedup(docs, exact_chars=1).collect()}
+    assert cleaned == {1: texts[1], 2: "", 3: "x\n", 4: None}
+    assert {r.doc_id: r.removed for r in L.digest(docs).collect()} == {1: "", 2: "2", 3: "", 4: ""}

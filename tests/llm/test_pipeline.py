@@ -70,3 +70,10 @@ def test_stages_bear_odd_and_no_rows(spark, tmp_path):
         docs = docs.selectExpr("*", "length(text) AS n_chars")
         for _, stage in P.STAGES:
             assert stage(spark, docs, sf_dir).count() <= docs.count()
+
+
+def test_short_lines_go_as_equal_lines(spark, tmp_path):
+    rows = [(i, f"Menu\nown line {i} with more words w{i}", "en", "src", 0) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text.split("\n")[0] for r in P.dedup_lines(spark, docs, str(tmp_path)).collect()}
+    assert got == {0: "Menu", 1: "own line 1 with more words w1", 2: "own line 2 with more words w2"}

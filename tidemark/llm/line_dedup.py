@@ -12,6 +12,9 @@ of the longer, while the shorter stands for itself at every place. All lines
 under one key are one edit apart from each other, so each is compared with the
 earliest only and no pairs are made.
 
+Equal lines need ``exact_chars`` characters only, where that is given; the
+minimum then holds for lines one edit apart. Lines two edits apart both stay.
+
 Emitting a variant per character of the corpus would be too much, so the place
 is narrowed down before: the same keys are made leaving out one half of the
 line, then one of about sqrt(n) pieces of that half, and only lines that share
@@ -25,7 +28,7 @@ that share half with another, and once more if cleaned texts are asked for.
 Defined cases: a null text has no lines; rows with a null id take no part and
 stay as they are; repeated rows are one document and get equal results; rows
 with one id and different texts are different documents, ordered by the hash
-of their text; shorter lines always stay; other columns stay; an empty table
+of their text; shorter and blank lines always stay; other columns stay; an empty table
 gives an empty result.
 """
 
@@ -54,6 +57,11 @@ def _half_keys() -> Column:
     return F.expr(f"array({keys('n')}, {keys('(n - 1)')})")
 
 
+def _least(min_chars: int, exact_chars: int | None) -> int:
+    """Characters of the shortest lines that take part; blank ones never do."""
+    return min_chars if exact_chars is None else max(1, min(exact_chars, min_chars))
+
+
 def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
     """id, content, place and text of every line that takes part."""
     return (
@@ -138,10 +146,12 @@ def _named(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     return docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
 
 
-def removals(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def removals(
+    docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, exact_chars: int | None = None
+) -> DataFrame:
     """``id``, ``content`` (hash of the text) and ``removed``, the places of the lines that go, where any do."""
     own = _named(docs, id_column, text)
-    lines = _occurrences(own, min_chars)
+    lines = _occurrences(own, _least(min_chars, exact_chars))
     distinct = checkpointed(
         lines.withColumn("n", F.length("line"))
         .withColumn("halves", _half_keys())
@@ -153,7 +163,7 @@ def removals(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text",
             F.first("halves").alias("halves"),
         )
     )
-    near = _near_earlier(own, distinct).withColumn("near", F.lit(True))
+    near = _near_earlier(own, distinct.where(F.col("n") >= min_chars)).withColumn("near", F.lit(True))
     marked = distinct.select("h1", "h2", "first", "times").join(near, ["h1", "h2"], "left")
     bad = marked.where("near OR times > 1").select("h1", "h2", "first", "near")
     return (
@@ -166,10 +176,10 @@ def removals(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text",
 
 
 def dedup(
-    docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS
+    docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, exact_chars: int | None = None
 ) -> DataFrame:
     """``docs`` with the lines taken out of ``text``, and ``n_removed``."""
-    gone = removals(docs, id_column=id_column, text=text, min_chars=min_chars).alias("g")
+    gone = removals(docs, id_column=id_column, text=text, min_chars=min_chars, exact_chars=exact_chars).alias("g")
     own = docs.alias("d")
     joined = own.join(
         gone,
@@ -188,15 +198,17 @@ def dedup(
     )
 
 
-def digest(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def digest(
+    docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, exact_chars: int | None = None
+) -> DataFrame:
     """One row per document: id, ``n_lines`` that take part, ``n_removed``, and ``removed`` as places, comma-joined."""
     own = _named(docs, id_column, text)
     counted = own.select(
         "id",
         F.xxhash64("text").alias("content"),
-        F.coalesce(F.size(F.filter(_lines(), lambda x: F.length(x) >= min_chars)), F.lit(0)).alias("n_lines"),
+        F.coalesce(F.size(F.filter(_lines(), lambda x: F.length(x) >= _least(min_chars, exact_chars))), F.lit(0)).alias("n_lines"),
     ).withColumn("n_lines", F.greatest("n_lines", F.lit(0)).cast("long"))
-    gone = removals(docs, id_column=id_column, text=text, min_chars=min_chars)
+    gone = removals(docs, id_column=id_column, text=text, min_chars=min_chars, exact_chars=exact_chars)
     return counted.join(gone, _KEY, "left").select(
         F.col("id").alias(id_column),
         "n_lines",
