@@ -46,9 +46,13 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which a twentieth or more stands in benchmark items go."""
-    marked = decontaminate.mark(docs, documents(spark, sf_dir, "benchmark"), text_left=False)
-    return decontaminate.judged(marked).where("NOT contaminated").select(*docs.columns)
+    """Documents of which a twentieth or more stands in benchmark items go; the others lose the passages."""
+    marked = decontaminate.mark(docs, documents(spark, sf_dir, "benchmark"))
+    clean = decontaminate.judged(marked).where("NOT contaminated")
+    length = F.length("text_left").cast(docs.schema["n_chars"].dataType)
+    hit = F.col("n_hit") > 0
+    own = {"text": F.when(hit, F.col("text_left")).otherwise(F.col("text")), "n_chars": F.when(hit, length).otherwise(F.col("n_chars"))}
+    return clean.select(*(own[c].alias(c) if c in own else F.col(f"`{c}`") for c in docs.columns))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,3 +77,13 @@ def test_short_lines_go_as_equal_lines(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = {r.doc_id: r.text.split("\n")[0] for r in P.dedup_lines(spark, docs, str(tmp_path)).collect()}
     assert got == {0: "Menu", 1: "own line 1 with more words w1", 2: "own line 2 with more words w2"}
+
+
+def test_passages_of_clean_documents_go(spark, tmp_path):
+    sf_dir = corpus(spark, tmp_path)
+    item, words = " ".join(f"item{i}" for i in range(20)), " ".join(f"own{i}" for i in range(800))
+    rows = [(1, f"{words} {item} {words}", "en", "src", 0), (2, words, "en", "src", 7), (3, f"own {item}", "en", "src", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in P.remove_contaminated(spark, docs, sf_dir).collect()}
+    left = f"{words}  {words}"
+    assert got == {1: (left, len(left)), 2: (words, 7)}
