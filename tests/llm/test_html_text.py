@@ -69,3 +69,16 @@ def test_tables(spark):
     assert got.count() == 5 and found[2] == ("", 0) and found[None] == ("", 0)
     assert found[1][0].startswith("A & B\n\nFirst") and found[1][1] == len(found[1][0])
     assert H.texts(pages.where("false"), H.fit(pages.where("false"))).count() == 0
+
+
+def test_formulas_and_fallback_texts_are_read():
+    page = (
+        "<body><article><p>The sum <math><mi>a</mi><mo>+</mo><mi>b</mi></math> is known to all of the readers here.</p>"
+        "<object data=x><p>A text in place of the object, long enough to be read.</p></object>"
+        "<noscript><p>A text for readers without scripts, long enough to be read.</p></noscript>"
+        "<script>no text</script><button>Send</button></article></body>"
+    )
+    found = H.extract([page], H.model(H.counts(H.EXAMPLES)))[0]
+    for part in ("The sum a+b is known", "A text in place of the object", "A text for readers without scripts"):
+        assert part in found
+    assert "no text" not in found and "Send" not in found

@@ -37,11 +37,12 @@ from tidemark.llm.common import with_block_columns
 
 # Elements that never hold text to be read, elements without an
 # end, elements that stand within a line, and those that a new block ends.
-SILENT = "head script style noscript template iframe svg math canvas object select textarea button option title"
+SILENT = "head script style template select textarea button option title"
 VOID = "area base br col embed hr img input link meta param source track wbr"
 INLINE = (
     "a abbr b bdi bdo big br cite code data dfn em font i img ins del kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr input"
+    "strike strong sub sup time tt u var wbr input math mi mn mo mrow ms mtext msup msub msubsup mfrac msqrt mroot mover munder "
+    "munderover semantics annotation svg g text tspan object canvas iframe"
 )
 ENDS_PARAGRAPH = (
     "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p "
