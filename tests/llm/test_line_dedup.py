@@ -13,14 +13,15 @@ def one_edit(a, b):
     return a[at + 1 :] == b[at + 1 :] or a[at:] == b[at + 1 :] or a[at + 1 :] == b[at:]
 
 
-def brute(texts, least=L.MIN_CHARS):
+def brute(texts, least=L.MIN_CHARS, exact=1):
     before, out = [], {}
     for i in sorted(texts):
         gone = []
         for at, line in enumerate((texts[i] or "").split("\n")):
             line = line.strip(" \t\r")
-            if len(line) >= least:
-                if any(one_edit(line, x) for x in before):
+            if len(line) >= exact:
+                near = [x for x in before if len(x) >= least] if len(line) >= least else ()
+                if line in before or any(one_edit(line, x) for x in near):
                     gone.append(at)
                 before.append(line)
         out[i] = gone
@@ -76,11 +77,19 @@ def test_odd_rows(spark):
     assert L.digest(cases.empty(spark)).count() == 0 and L.dedup(cases.empty(spark)).count() == 0
 
 
+def test_a_hot_line_is_dealt_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(L, "HOT_TIMES", 5)
+    texts = {i: f"the same line everywhere\nan own line number {i * i} {i}" for i in range(40)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    assert {r.doc_id: r.removed for r in L.digest(docs).collect()} == {i: "0" if i else "" for i in texts}
+
+
 def test_short_lines_go_as_equal_lines_only(spark):
     texts = {1: "menu\n\na line of many letters\nmenus", 2: "menu \n\na line of many letter\nmenu", 3: "x\nmenus\n\nx", 4: None}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r.doc_id: (r.n_lines, r.removed) for r in L.digest(docs, exact_chars=1).collect()}
+    got = {r.doc_id: (r.n_lines, r.removed) for r in L.digest(docs).collect()}
     assert got == {1: (3, ""), 2: (3, "0,2,3"), 3: (3, "1,3"), 4: (0, "")}
-    cleaned = {r.doc_id: r.text for r in L.dedup(docs, exact_chars=1).collect()}
+    cleaned = {r.doc_id: r.text for r in L.dedup(docs).collect()}
     assert cleaned == {1: texts[1], 2: "", 3: "x\n", 4: None}
-    assert {r.doc_id: r.removed for r in L.digest(docs).collect()} == {1: "", 2: "2", 3: "", 4: ""}
+    longer = {r.doc_id: r.removed for r in L.digest(docs, exact_chars=10).collect()}
+    assert longer == {1: "", 2: "2", 3: "", 4: ""}

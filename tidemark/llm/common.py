@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import hashlib
 import os
+import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -12,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+# Rows that a worker takes at once.
+SLICE = 1024
 # What a block function gets and gives: columns of one batch.
 Block = Callable[[pa.RecordBatch], dict[str, pa.Array]]
 
@@ -22,12 +27,30 @@ def shared_folder(spark: SparkSession) -> str:
     return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints").rstrip("/")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept as compressed Parquet in the shared folder, until the application ends.
+
+    Executors can be lost without losing it. Unlike a checkpoint it is read by column.
+    """
+    spark = df.sparkSession
+    own = f"{shared_folder(spark)}/tidemark-{spark.sparkContext.applicationId}"
+    if own not in _folders:
+        _folders.add(own)
+        atexit.register(_delete, spark, own)
+    path = f"{own}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    # The schema is given, so that no job reads it from the files.
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_folders: set[str] = set()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Best effort at the end: without a session there is nothing to delete with."""
+    with contextlib.suppress(Exception):
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def importable(spark: SparkSession) -> None:
@@ -56,7 +79,7 @@ def with_block_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = start()
-        for batch in batches:
+        for batch in _slices(batches):
             added = block(batch)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in back), *(added[n] for n in new)], names=schema.fieldNames()
@@ -73,7 +96,7 @@ def rows_from_blocks(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = start()
-        for batch in batches:
+        for batch in _slices(batches):
             made = block(batch)
             yield pa.RecordBatch.from_arrays(
                 [made[f.name] for f in schema.fields], names=schema.fieldNames()
@@ -82,6 +105,13 @@ def rows_from_blocks(
     return df.mapInArrow(run, schema)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in smaller batches, so that a worker never holds the results of a whole one."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """UTF-8 of a text column, null as empty."""
     values = batch.column(batch.schema.get_field_index(column))

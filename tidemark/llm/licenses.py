@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed
+from tidemark.llm.common import stored
 
 # Phrases with their labels, as words in lower case.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -135,7 +135,7 @@ def scan(
 
 
 def _voted(grams: DataFrame, known: DataFrame, id_column: str) -> DataFrame:
-    matches = checkpointed(
+    matches = stored(
         # Outer: else a filter on the whole list of grams would be made and pushed into the splitting of words.
         grams.select("row", F.posexplode_outer("grams").alias("at", "gram"))
         .join(known, "gram")

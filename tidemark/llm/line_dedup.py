@@ -1,8 +1,10 @@
 """Line deduplication across documents by deletion neighbourhoods.
 
-A line (white space at its ends removed, ``MIN_CHARS`` characters or more)
-goes if an earlier line of the corpus, by id, content and place, equals it or
-is one edit away: a character put in, left out or changed. The earliest stays.
+A line (white space at its ends removed) goes if an earlier line of the
+corpus, by id, content and place, equals it, or, from ``MIN_CHARS`` characters
+on, is one edit away: a character put in, left out or changed. The earliest
+stays. The bound of one edit is part of the method's keys and no parameter;
+lines two edits apart both stay.
 
 Equal lines are folded first. For the others, two lines one edit apart have
 equal text before and behind one place. Leaving out every single character in
@@ -12,8 +14,7 @@ of the longer, while the shorter stands for itself at every place. All lines
 under one key are one edit apart from each other, so each is compared with the
 earliest only and no pairs are made.
 
-Equal lines need ``exact_chars`` characters only, where that is given; the
-minimum then holds for lines one edit apart. Lines two edits apart both stay.
+Equal lines need ``exact_chars`` characters only; by default a single one.
 
 Emitting a variant per character of the corpus would be too much, so the place
 is narrowed down before: the same keys are made leaving out one half of the
@@ -28,8 +29,9 @@ that share half with another, and once more if cleaned texts are asked for.
 Defined cases: a null text has no lines; rows with a null id take no part and
 stay as they are; repeated rows are one document and get equal results; rows
 with one id and different texts are different documents, ordered by the hash
-of their text; shorter and blank lines always stay; other columns stay; an empty table
-gives an empty result.
+of their text; blank lines always stay; a very long text is one row like any
+other, its lines are compared whole; ties can't be, as no two lines begin at
+one place; other columns stay; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,9 +39,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed
+from tidemark.llm.common import stored
 
-MIN_CHARS = 10
+# Characters of the shortest lines that are compared for one edit; equal lines are told at any length.
+MIN_CHARS, EXACT_CHARS = 10, 1
+# Occurrences from which a line can be hot, and tasks that a hot line is dealt to.
+HOT_TIMES, DEALS = 1000, 64
 BLANKS = " \\t\\r"
 
 _KEY = ["id", "content"]
@@ -57,9 +62,9 @@ def _half_keys() -> Column:
     return F.expr(f"array({keys('n')}, {keys('(n - 1)')})")
 
 
-def _least(min_chars: int, exact_chars: int | None) -> int:
+def _least(min_chars: int, exact_chars: int) -> int:
     """Characters of the shortest lines that take part; blank ones never do."""
-    return min_chars if exact_chars is None else max(1, min(exact_chars, min_chars))
+    return max(1, min(exact_chars, min_chars))
 
 
 def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -80,15 +85,15 @@ def _shared(rows: DataFrame, key: str) -> DataFrame:
 
 
 def _near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """h1, h2 of the lines one edit away from an earlier one."""
+    """``first`` of the lines one edit away from an earlier one; it names a line, as no other begins there."""
     # Most lines share no half, so only the rows of those that do are fetched for what else is known of them.
     halves = distinct.select("h1", F.posexplode("halves").alias("which", "key"))
     wanted = (
         _shared(halves, "key")
-        .join(distinct.select("h1", "h2", "first", "n"), "h1")
+        .join(distinct.select("h1", "first", "n"), "h1")
         .withColumns({"m": F.expr("n - which div 2"), "j": F.expr("which % 2")})
         .groupBy("first.id", "first.content")
-        .agg(F.collect_list(F.struct("first", "h1", "h2", "m", "j", "key")).alias("wanted"))
+        .agg(F.collect_list(F.struct("first", "m", "j", "key")).alias("wanted"))
     )
     texts = docs.where("id IS NOT NULL AND text IS NOT NULL").withColumn("content", F.xxhash64("text"))
     # One line of text per wanted line; repeated rows give it twice.
@@ -104,16 +109,16 @@ def _near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
             F.expr("if(j = 0, left(line, cast(length(line) - (m - m div 2) as int)), substring(line, cast(m div 2 as int) + 1))"),
         )
         .withColumn("longer", F.expr("length(line) > m"))
-        .select("h1", "h2", "first", "key", "r", "rest", "longer")
-        .dropDuplicates(["h1", "h2", "key"])
+        .select("first", "key", "r", "rest", "longer")
+        .dropDuplicates(["first", "key"])
     )
-    pieces = checkpointed(
+    pieces = stored(
         fetched.withColumn("b", F.expr("cast(greatest(ceil(sqrt(r)), 1) as int)"))
         .select("*", F.explode(F.expr("sequence(0, b - 1)")).alias("i"))
         .withColumn("low", F.expr("cast(cast(i as bigint) * r div b as int)"))
         .withColumn("high", F.expr("cast((cast(i as bigint) + 1) * r div b as int)"))
         .select(
-            "h1", "h2", "first", "longer",
+            "first", "longer",
             F.expr("xxhash64(key, i, left(rest, low), right(rest, r - high))").alias("key"),
             F.expr("substring(rest, low + 1, length(rest) - low - (r - high))").alias("rest"),
         )
@@ -129,7 +134,7 @@ def _near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     emitted = (
         _shared(pieces, "key")
         .where("not longer or length(rest) > 0")
-        .select("h1", "h2", "first", "rest", F.explode_outer(variants).alias("variant"))
+        .select("first", "rest", F.explode_outer(variants).alias("variant"))
         .where("variant IS NOT NULL")
     )
     earliest = emitted.groupBy("variant").agg(F.min(F.struct("first", "rest")).alias("one"))
@@ -137,7 +142,7 @@ def _near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
         emitted.join(earliest, "variant")
         .where(F.col("first") > F.col("one.first"))
         .where(F.levenshtein("rest", "one.rest") <= 1)
-        .select("h1", "h2")
+        .select("first")
         .distinct()
     )
 
@@ -147,14 +152,14 @@ def _named(docs: DataFrame, id_column: str, text: str) -> DataFrame:
 
 
 def removals(
-    docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, exact_chars: int | None = None
+    docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, exact_chars: int = EXACT_CHARS
 ) -> DataFrame:
     """``id``, ``content`` (hash of the text) and ``removed``, the places of the lines that go, where any do."""
     own = _named(docs, id_column, text)
     lines = _occurrences(own, _least(min_chars, exact_chars))
-    distinct = checkpointed(
+    distinct = stored(
         lines.withColumn("n", F.length("line"))
-        .withColumn("halves", _half_keys())
+        .withColumn("halves", F.when(F.col("n") >= min_chars, _half_keys()))
         .groupBy("h1", "h2")
         .agg(
             F.min(F.struct("id", "content", "at")).alias("first"),
@@ -164,11 +169,19 @@ def removals(
         )
     )
     near = _near_earlier(own, distinct.where(F.col("n") >= min_chars)).withColumn("near", F.lit(True))
-    marked = distinct.select("h1", "h2", "first", "times").join(near, ["h1", "h2"], "left")
-    bad = marked.where("near OR times > 1").select("h1", "h2", "first", "near")
+    marked = distinct.select("h1", "h2", "first", "times").join(near, "first", "left")
+    bad = marked.where("near OR times > 1").select("h1", "h2", "first", "near", "times")
+    # Lines with more than a thousandth of all occurrences are dealt to many tasks; so there are at most a thousand.
+    total = distinct.agg(F.sum("times").alias("n")).first().n or 0
+    is_hot = (F.col("times") > HOT_TIMES) & (F.col("times") * 1000 > total)
+    hot = distinct.where(is_hot).select("h1", "h2", F.lit(True).alias("hot"))
+    deal = F.when(F.col("hot"), F.pmod(F.xxhash64("id", "at"), F.lit(DEALS))).otherwise(0).alias("deal")
+    every = F.when(is_hot, F.sequence(F.lit(0), F.lit(DEALS - 1))).otherwise(F.array(F.lit(0)))
     return (
         lines.select(*_KEY, "at", "h1", "h2")
-        .join(bad, ["h1", "h2"])
+        .join(F.broadcast(hot), ["h1", "h2"], "left")
+        .select(*_KEY, "at", "h1", "h2", deal)
+        .join(bad.withColumn("deal", F.explode(every)).drop("times"), ["h1", "h2", "deal"])
         .where(F.coalesce("near", F.lit(False)) | (F.struct("id", "content", "at") > F.col("first")))
         .groupBy(*_KEY)
         .agg(F.array_sort(F.collect_set("at")).alias("removed"))
@@ -176,7 +189,7 @@ def removals(
 
 
 def dedup(
-    docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, exact_chars: int | None = None
+    docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, exact_chars: int = EXACT_CHARS
 ) -> DataFrame:
     """``docs`` with the lines taken out of ``text``, and ``n_removed``."""
     gone = removals(docs, id_column=id_column, text=text, min_chars=min_chars, exact_chars=exact_chars).alias("g")
@@ -199,7 +212,7 @@ def dedup(
 
 
 def digest(
-    docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, exact_chars: int | None = None
+    docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, exact_chars: int = EXACT_CHARS
 ) -> DataFrame:
     """One row per document: id, ``n_lines`` that take part, ``n_removed``, and ``removed`` as places, comma-joined."""
     own = _named(docs, id_column, text)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from tidemark.llm import words as W
-from tidemark.llm.common import checkpointed, rows_from_blocks, texts_of, with_block_columns
+from tidemark.llm.common import rows_from_blocks, stored, texts_of, with_block_columns
 from tidemark.llm.components import components
 
 SHINGLE = 5
@@ -212,7 +212,7 @@ def _table_keys(classes: DataFrame, tables: int) -> DataFrame:
         "class", F.col("l"), F.explode("right").alias("r")
     ).select("class", F.xxhash64("l", "r").alias("key"))
     sizes = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    return checkpointed(keys.join(sizes, "key"))
+    return stored(keys.join(sizes, "key"))
 
 
 def _pairs_of_few(keys: DataFrame, few: int) -> DataFrame:
@@ -292,6 +292,19 @@ def _rarest_shared(members: DataFrame, sets: DataFrame, labels: DataFrame, perce
     )
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` with the components joined that ``links`` (a, b) connect; only those make a graph."""
+    of = lambda node: labels.select(F.col("node").alias(node), F.col("component").alias(f"{node}_in"))
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        "a", "b", F.coalesce("a_in", "a").alias("a_in"), F.coalesce("b_in", "b").alias("b_in")
+    )
+    joined = components(between.select(F.col("a_in").alias("a"), F.col("b_in").alias("b")))
+    # Ends of links that had no label are their own components so far.
+    nodes = labels.union(links.select("a", "a")).union(links.select("b", "b")).groupBy("node").agg(F.min("component").alias("component"))
+    step = joined.select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    return stored(nodes.join(step, "component", "left").select("node", F.coalesce("whole", "component").alias("component")))
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -305,8 +318,8 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id`` and ``kept``."""
     own = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    signed = checkpointed(signatures(own, size, tables, rows))
-    classes = checkpointed(
+    signed = stored(signatures(own, size, tables, rows))
+    classes = stored(
         signed.where("n > 0")
         .groupBy("class")
         .agg(
@@ -324,14 +337,14 @@ def near_duplicates(
         (F.col("t.content") == F.col("c.content")) & F.col("t.id").eqNullSafe(F.col("c.id")),
         "left_semi",
     )
-    sets = checkpointed(shingle_sets(texts.select("text"), size, tables, rows).dropDuplicates(["class"]))
+    sets = stored(shingle_sets(texts.select("text"), size, tables, rows).dropDuplicates(["class"]))
     large = keys.where(F.col("size") > few).select("class", "key")
-    links = checkpointed(confirmed(_pairs_of_few(keys, few).unionByName(_stars(large)).distinct(), sets, percent))
+    links = stored(confirmed(_pairs_of_few(keys, few).unionByName(_stars(large)).distinct(), sets, percent))
     labels = components(links)
-    rest = confirmed(_rarest_shared(large.select("class").distinct(), sets, labels, percent), sets, percent)
-    rest = checkpointed(rest)
-    if not rest.isEmpty():
-        labels = components(links.union(rest))
+    if not large.isEmpty():
+        rest = stored(confirmed(_rarest_shared(large.select("class").distinct(), sets, labels, percent), sets, percent))
+        if not rest.isEmpty():
+            labels = _merged(labels, rest)
     named = classes.select("class", "smallest").join(
         labels.select(F.col("node").alias("class"), "component"), "class", "left"
     ).select("class", "smallest", F.coalesce("component", "class").alias("component"))

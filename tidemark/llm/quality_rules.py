@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField
 
 from tidemark.llm import words as W
-from tidemark.llm.common import checkpointed, texts_of, with_block_columns
+from tidemark.llm.common import stored, texts_of, with_block_columns
 
 WINDOW = 8
 SYMBOLS = np.zeros(256, dtype=bool)
@@ -141,7 +141,7 @@ def judge(
     repeated windows), or if less than ``min_left`` of its words are left.
     """
     # Kept, as the lines are read twice: to count them and to judge by the counts.
-    measured = checkpointed(
+    measured = stored(
         measure(
             docs.select(F.col(id_column).alias("id"), F.col(host).alias("host"), F.col(text).alias("text")),
             without=("text",),

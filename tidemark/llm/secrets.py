@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed
+from tidemark.llm.common import stored
 
 # The patterns of the kinds, in the order in which equal starts are listed.
 VALUE = "[A-Za-z0-9+/_.=-]+"
@@ -133,7 +133,7 @@ def labelled_samples(docs: DataFrame, text: str = "text", id_column: str = "doc_
     ids = docs.select(F.col(id_column).alias("id")).where("id IS NOT NULL").distinct()
     chosen = ids.orderBy(F.xxhash64("id"), "id").limit(limit)
     own = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    known = checkpointed(own.join(F.broadcast(chosen), "id", "left_semi"))
+    known = stored(own.join(F.broadcast(chosen), "id", "left_semi"))
     for kind, (pattern, condition, _) in KINDS.items():
         known = known.withColumn(kind, matches("text", pattern, condition))
     value = F.expr(
@@ -141,7 +141,7 @@ def labelled_samples(docs: DataFrame, text: str = "text", id_column: str = "doc_
             f"transform(filter({k}, x -> length(x.value) >= {least}), x -> x.value)" for k, (_, _, least) in KINDS.items()
         ) + ")"
     )
-    known = checkpointed(known.select("text", value.alias("secrets")))
+    known = stored(known.select("text", value.alias("secrets")))
     secret = known.select(F.explode_outer("secrets").alias("token"))
     digest = F.unhex(F.sha2(F.col("id").cast("string"), 512))
     made = chosen.select(F.explode(F.array(F.base64(digest), F.lower(F.hex(digest)), F.upper(F.base64(digest)))).alias("token"))

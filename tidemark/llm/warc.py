@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed
+from tidemark.llm.common import stored
 
 RESPONSE, REVISIT = "response", "revisit"
 # Cuts of time; a window holds about 1 / CUTS of all records at most.
@@ -113,7 +113,7 @@ def resolve(records: DataFrame, *, cuts: int = CUTS) -> DataFrame:
     resolved, the merged ``headers`` (names in lower case).
     """
     headers = _by_name(F.coalesce("headers", F.create_map().cast("map<string,string>")))
-    own = checkpointed(
+    own = stored(
         records.where(F.col("url").isNotNull() & F.col("time").isNotNull() & F.col("kind").isin(RESPONSE, REVISIT))
         .select(
             F.col("record_id").alias("id"), canonical_url(F.col("url")).alias("url"), "time",
