@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm import cases
+from tidemark.llm import resample as R
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def words(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def buckets(text, run=1, n=10_000):
+    found = words(text)
+    runs = [" ".join(found[i : i + k]) for k in range(1, run + 1) for i in range(len(found) - k + 1)]
+    return [zlib.crc32(r.encode()) % n for r in runs]
+
+
+def brute(docs, target, run=1, n=10_000, percent=10, least=20):
+    """docs: (id, text) in any order; every row's result."""
+    s, t = Counter(b for _, x in docs for b in buckets(x, run, n)), Counter(b for x in target for b in buckets(x, run, n))
+    every, wanted = s.total(), t.total()
+    gain = {b: math.floor(1000 * math.log((t[b] + 1) * (every + n) / ((s[b] + 1) * (wanted + n)))) for b in range(n)}
+    rows = []
+    for i, text in docs:
+        own = buckets(text, run, n)
+        h = int(hashlib.sha256(f"2024:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        weight = sum(gain[b] for b in own)
+        rows.append([i, len(own), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None, len(words(text))])
+    able = sorted((r for r in rows if r[5] >= least), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    for rank, row in enumerate(able[: percent * len(able) // 100], 1):
+        row[4] = rank
+    return Counter(tuple(r[:5]) for r in rows)
+
+
+def corpus(rng, size):
+    return [(i, " ".join(rng.choices(["Apple", "pear", "plum", "é", "x1", "fig", "nut"], k=rng.randrange(60)))) for i in range(size)]
+
+
+def got(df):
+    return Counter((r.doc_id, r.n_features, r.weight, r.score, r["rank"]) for r in df.collect())
+
+
+@pytest.mark.parametrize("settings", [{}, {"run": 2, "buckets": 97}, {"percent": 50, "sort_rows": 7}, {"percent": 100, "sort_rows": 1}])
+def test_equals_brute_force(spark, settings):
+    rows = corpus(random.Random(5), 300)
+    target = ["apple pear", "plum plum nut", None, ""]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    items = spark.createDataFrame([(t,) for t in target], "text string")
+    expected = brute(rows, target, settings.get("run", 1), settings.get("buckets", 10_000), settings.get("percent", 10))
+    assert got(R.resample(docs, items, **settings)) == expected
+
+
+@pytest.mark.parametrize("kind", ["one score", "two scores", "few scores", "own scores"])
+@pytest.mark.parametrize("nth", [1, 500, 777])
+def test_cutoff_among_ties(spark, kind, nth):
+    score = {"one score": "7L", "two scores": "id % 2", "few scores": "id % 5", "own scores": "id * 37 % 1000"}[kind]
+    rows = spark.range(1000).selectExpr(f"cast({score} as long) AS score", "id % 100 AS place", "id AS row")
+    order = sorted(((r.score, r.place, r.row) for r in rows.collect()), key=lambda r: (-r[0], r[1], r[2]))
+    assert R.cutoff(rows, nth, 1000, sort_rows=20) == order[nth - 1]
+
+
+def test_sketches_that_miss_are_widened(spark, monkeypatch):
+    """A sketch that answers with one far end forces the counts to move the bracket."""
+    monkeypatch.setattr(R.F, "percentile_approx", lambda place, around, accuracy: F.array(F.max(place) - 1, F.max(place)))
+    rows = spark.range(500).selectExpr("id AS score", "id AS place", "id AS row")
+    assert R.cutoff(rows, 400, 500, sort_rows=20) == (100, 100, 100)
+
+
+def test_odd_rows(spark):
+    docs = cases.documents(spark)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    items = spark.createDataFrame([("lorem ipsum", 1)], "text string, weight long")
+    result = R.resample(docs, items, percent=50)
+    assert result.dtypes == [(c, "bigint") for c in ("doc_id", "n_features", "weight", "score", "rank")]
+    assert got(result) == brute(rows, ["lorem ipsum"], percent=50)
+    assert R.resample(cases.empty(spark), items).count() == 0
+    nothing = items.where("false")
+    assert got(R.resample(docs, nothing)) == brute(rows, [])
+    # Repeated rows take ranks next to each other.
+    same = spark.createDataFrame([(1, "a b c " * 9)] * 4 + [(2, "d e f " * 9)] * 4, "doc_id long, text string")
+    assert sorted(r["rank"] for r in R.resample(same, items, percent=100).collect()) == list(range(1, 9))
+    named = spark.createDataFrame([("b", "a b c " * 9), ("a", "d e f " * 9), (None, "g " * 30)], "doc_id string, text string")
+    assert sorted(r["rank"] for r in R.resample(named, items, percent=100).collect()) == [1, 2, 3]

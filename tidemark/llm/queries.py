@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, html_text, language, licenses, line_dedup, minhash, quality_rules, secrets, warc
+from tidemark.llm import (
+    bpe, decontaminate, html_text, language, licenses, line_dedup, minhash, phrases, pii, quality_rules, resample, secrets, warc,
+)
 from tidemark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +107,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.top(phrases.mine(documents(spark, sf_dir)))
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.scan(documents(spark, sf_dir).select("doc_id", "text"), keep_text=False))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_decontaminate": op2_decontaminate,
@@ -116,6 +130,9 @@ QUERIES: dict[str, Query] = {
     "op8_minhash": op8_minhash,
     "op9_bpe": op9_bpe,
     "op10_language": op10_language,
+    "op11_phrases": op11_phrases,
+    "op12_pii": op12_pii,
+    "op13_resample": op13_resample,
 }
 
 # --- SQL ----------------------------------------------------------------------
@@ -150,14 +167,15 @@ OP3_SQL = r"""
 WITH pieces AS (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
 lines AS (
   SELECT doc_id, i - 1 AS nth, trim(p[i], ' ' || chr(9) || chr(13)) AS line FROM pieces, unnest(range(1, len(p) + 1)) AS t(i)),
-taken AS (SELECT * FROM lines WHERE length(line) >= 10),
+taken AS (SELECT * FROM lines WHERE line <> ''),
 firsts AS (SELECT line, min((doc_id, nth)) AS f FROM taken GROUP BY line),
+long AS (SELECT * FROM firsts WHERE length(line) >= 10),
 variants AS (
-  SELECT line, f, hash('changed', i, line[:i - 1] || line[i + 1:]) AS v FROM firsts, unnest(range(1, length(line) + 1)) AS t(i)
+  SELECT line, f, hash('changed', i, line[:i - 1] || line[i + 1:]) AS v FROM long, unnest(range(1, length(line) + 1)) AS t(i)
   UNION ALL
-  SELECT line, f, hash('extra', i, line[:i - 1] || line[i + 1:]) FROM firsts, unnest(range(1, length(line) + 1)) AS t(i)
+  SELECT line, f, hash('extra', i, line[:i - 1] || line[i + 1:]) FROM long, unnest(range(1, length(line) + 1)) AS t(i)
   UNION ALL
-  SELECT line, f, hash('extra', i, line) FROM firsts, unnest(range(1, length(line) + 2)) AS t(i)),
+  SELECT line, f, hash('extra', i, line) FROM long, unnest(range(1, length(line) + 2)) AS t(i)),
 least AS (SELECT v, min(f) AS f FROM variants GROUP BY v),
 near AS (SELECT DISTINCT line FROM variants JOIN least USING (v) WHERE variants.f > least.f),
 gone AS (
@@ -301,6 +319,63 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id IS NOT DISTINC
 FROM docs JOIN smallest USING (r) LEFT JOIN sizes USING (r)
 """
 
+OP11_SQL = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex({LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents WHERE text IS NOT NULL),
+spelled AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, list_slice(w, i, i + k - 1) AS p, count(*) AS f
+  FROM spelled, unnest(range(1, 5)) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(i) GROUP BY lang, p),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE len(p) = 1 GROUP BY lang),
+candidates AS (SELECT lang, p, f AS a FROM grams WHERE len(p) > 1 AND f >= 30),
+cuts AS (
+  SELECT c.lang, c.p, c.a, k, x.f AS l, y.f AS r, CAST(2000000::HUGEINT * c.a // (x.f + y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, len(p))) AS k FROM candidates) AS c
+  JOIN grams AS x ON x.lang = c.lang AND x.p = list_slice(c.p, 1, k)
+  JOIN grams AS y ON y.lang = c.lang AND y.p = list_slice(c.p, k + 1, len(c.p))),
+worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inner_phrases AS (
+  SELECT lang, list_slice(p, i, i + k - 1) AS p, max(a) AS a
+  FROM candidates, unnest(range(2, len(p))) AS s(k), unnest(range(1, len(p) - k + 2)) AS t(i) GROUP BY ALL),
+kept AS (
+  SELECT lang, array_to_string(w.p, ' ') AS phrase, w.a, l, r, score
+  FROM worst AS w LEFT JOIN inner_phrases AS o USING (lang, p) WHERE o.a IS NULL OR 100 * o.a < 80 * w.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+# CRC-32 bit by bit over the bytes of each distinct word.
+OP13_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS w FROM documents),
+items AS (SELECT {WORDS_SQL} AS w FROM benchmark),
+words AS (SELECT DISTINCT w FROM (SELECT unnest(w) AS w FROM docs UNION ALL SELECT unnest(w) FROM items)),
+bytes AS (SELECT w, list_transform(range(0, len(hex(encode(w))) // 2),
+    lambda i: CAST('0x' || substr(hex(encode(w)), 2 * i + 1, 2) AS UBIGINT)) AS b FROM words),
+hashed AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295::UBIGINT, b), lambda crc, byte: list_reduce(
+    list_prepend(xor(crc, byte), list_transform(range(8), lambda i: 0::UBIGINT)),
+    lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END))), 4294967295::UBIGINT) % 10000 AS bucket
+  FROM bytes),
+parts AS (SELECT r, bucket FROM (SELECT r, unnest(w) AS w FROM docs) JOIN hashed USING (w)),
+source AS (SELECT bucket, count(*) AS s FROM parts GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM (SELECT unnest(w) AS w FROM items) JOIN hashed USING (w) GROUP BY bucket),
+sums AS (SELECT (SELECT count(*) FROM parts) + 10000 AS s, (SELECT coalesce(sum(t), 0) FROM target) + 10000 AS t),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(target.t, 0) + 1)::DOUBLE * sums.s::DOUBLE
+    / ((source.s + 1)::DOUBLE * sums.t::DOUBLE)))::BIGINT AS gain
+  FROM source LEFT JOIN target USING (bucket), sums),
+weights AS (SELECT r, sum(gain)::BIGINT AS weight FROM parts JOIN gains USING (bucket) GROUP BY r),
+scored AS (
+  SELECT doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+    (CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS UBIGINT)::DOUBLE + 0.5) / 4294967296)))::BIGINT AS score
+  FROM docs LEFT JOIN weights USING (r)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS nth,
+    count(*) OVER (PARTITION BY n_features >= 20) AS able FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND nth <= 10 * able // 100 THEN nth END AS rank FROM ranked
+"""
+
 ORACLES: dict[str, str] = {
     "op3_line_dedup": OP3_SQL,
     "op4_warc": OP4_SQL,
@@ -308,4 +383,6 @@ ORACLES: dict[str, str] = {
     "op7_quality_rules": OP7_SQL,
     "op8_minhash": OP8_SQL,
     "op2_decontaminate": OP2_SQL,
+    "op11_phrases": OP11_SQL,
+    "op13_resample": OP13_SQL,
 }
