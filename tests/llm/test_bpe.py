@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 
 import pytest
@@ -33,7 +34,7 @@ def test_ids_and_text_equal_the_library(library, own):
     texts += ["".join(rng.choices("aetinsorhl", k=rng.randrange(1, 60))) for _ in range(2000)]
     texts += [c * n for c in "a!é" for n in range(1, 70)]
     for text, encoding in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
-        assert own.encode(text) == encoding.ids, text
+        assert own.encode(text).tolist() == encoding.ids, text
         assert own.decode(encoding.ids) == library.decode(encoding.ids, skip_special_tokens=False)
 
 
@@ -58,3 +59,18 @@ def test_operators_bear_odd_rows(spark, library):
         assert digest.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert digest.decoded_sha256 == hashlib.sha256(row.decoded.encode()).hexdigest()
     assert bpe.digest(cases.empty(spark), tokenizer_file()).count() == 0
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        {"normalizer": None}, {"pre_tokenizer": {"type": "Whitespace"}}, {"decoder": {"type": "ByteLevel"}}, {"model": {"ignore_merges": True}},
+        {"added_tokens": [{"id": 1, "content": "<x>", "lstrip": True}]},
+    ],
+)
+def test_other_formats_are_refused(change):
+    with open(tokenizer_file(), encoding="utf-8") as file:
+        data = json.load(file)
+    change = {k: data[k] | v if k == "model" else v for k, v in change.items()}
+    with pytest.raises(ValueError, match=f"differs.*{next(iter(change)).split('_')[0]}"):
+        bpe.Encoder(json.dumps(data | change))

@@ -22,22 +22,50 @@ import hashlib
 import json
 import re
 import unicodedata
+from array import array
+from collections.abc import Iterable
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField
 
-from tidemark.llm.common import with_block_columns
+from tidemark.llm.common import sha256_hex, with_block_columns
 
-# Words, and pairs of tokens, that one task remembers at a time.
-REMEMBERED = 160_000
+# Pairs of tokens, and words (about 200 bytes each), that one task remembers at a time.
+REMEMBERED, REMEMBERED_WORDS = 160_000, 300_000
 
 # Fixed values of the file format: contractions, runs of letters, single
 # digits, runs of anything else but white space; the suffix of a word's end.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
 END = "</w>"
+# What a file must say for these steps to be its own.
+FORMAT = {
+    "truncation": None,
+    "padding": None,
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "decoder": None,
+}
+MODEL = {
+    "type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": END,
+    "fuse_unk": False, "byte_fallback": False, "ignore_merges": False,
+}
 # An ending symbol stands in the private area, so that each symbol is one character.
 _ENDING = 0xE000
 
@@ -82,6 +110,9 @@ class SuffixAutomaton:
         self.tokens: list[tuple[tuple[int, int], ...]] = [()] * len(self.link)
         for state in sorted(range(1, len(self.link)), key=self.longest.__getitem__):
             self.tokens[state] = (*self.own.get(state, ()), *self.tokens[self.link[state]])
+        # Needed to build it only.
+        del self._out
+        self._falls: dict[int, tuple[int, int]] = {}
 
     def _new(self, longest: int, link: int) -> int:
         self.longest.append(longest)
@@ -120,32 +151,49 @@ class SuffixAutomaton:
             self.link[added] = known
         return added
 
+    def fall(self, state: int, symbol: int) -> tuple[int, int]:
+        """Where a symbol leads that does not go on from ``state``, and how much of the text is known there."""
+        key = state << 16 | symbol
+        known = self._falls.get(key)
+        if known is None:
+            target = None
+            while target is None and state:
+                state = self.link[state]
+                target = self.go.get(state << 16 | symbol)
+            known = (0, 0) if target is None else (target, self.longest[state] + 1)
+            if len(self._falls) >= REMEMBERED:
+                self._falls.clear()
+            self._falls[key] = known
+        return known
+
     def endings(self, text: str) -> list[tuple[tuple[int, int], ...]]:
         """For each place of ``text``, length and number of every token that ends there, longest first."""
-        go, link, longest, tokens = self.go, self.link, self.longest, self.tokens
         state, size, found = 0, 0, []
         for letter in text:
-            symbol = ord(letter)
-            target = go.get(state << 16 | symbol)
-            while target is None and state:
-                state = link[state]
-                size = longest[state]
-                target = go.get(state << 16 | symbol)
-            if target is None:
-                found.append(())
-                continue
-            state, size = target, size + 1
-            here = tokens[state]
+            target = self.go.get(state << 16 | ord(letter))
+            state, size = self.fall(state, ord(letter)) if target is None else (target, size + 1)
             # Only the state's own tokens can be longer than what has been read.
-            found.append(here if not here or here[0][0] <= size else tuple(x for x in here if x[0] <= size))
+            found.append(tuple(x for x in self.tokens[state] if x[0] <= size))
         return found
 
 
+def _require_format(data: dict) -> None:
+    """Only the steps that are written here are borne; a file with others would be encoded wrongly."""
+    wrong = [name for name, wanted in FORMAT.items() if data.get(name) != wanted]
+    wrong += [f"model.{name}" for name, wanted in MODEL.items() if data["model"].get(name, wanted) != wanted]
+    for token in data["added_tokens"]:
+        if any(token.get(flag) for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            wrong.append(f"added token {token['content']}")
+    if wrong:
+        raise ValueError(f"tokenizer file differs from what can be encoded: {', '.join(wrong)}")
+
+
 class Encoder:
     """Encodes single words and whole texts as one tokenizer file says."""
 
     def __init__(self, source: str):
         data = json.loads(source)
+        _require_format(data)
         model = data["model"]
         self.vocabulary: dict[str, int] = model["vocab"]
         self.names = {i: t for t, i in self.vocabulary.items()}
@@ -154,7 +202,7 @@ class Encoder:
         self.special = special
         self.cut = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
         letters = byte_letters()
-        self.inner = letters
+        self.inner = [ord(c) for c in letters]
         self.final = {c: chr(_ENDING + b) for b, c in enumerate(letters)}
         # Merges by pair; parts and rank by token. Tokens without parts are born at -1.
         self.merges: dict[tuple[int, int], int] = {}
@@ -164,11 +212,12 @@ class Encoder:
             self.merges[pair] = rank
             self.parts[self.vocabulary[a + b]] = (rank, *pair)
         self.automaton = SuffixAutomaton({self._symbols(t): i for t, i in self.vocabulary.items()})
-        self.rights = [self._edge(t, 1) for t in range(len(self.vocabulary))]
-        self.lefts = [self._edge(t, 0) for t in range(len(self.vocabulary))]
         self.allowed: dict[int, bool] = {}
-        self.words: dict[str, tuple[str, str, int]] = {}
-        self.older: dict[str, tuple[str, str, int]] = {}
+        # Ids of words as the bytes of an array.
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.special_ids = {t: array("I", [i]).tobytes() for t, i in special.items()}
+        self.numbers = {i: str(i) for i in self.names}
         self.pieces = regex.compile(PIECE)
 
     def _symbols(self, token: str) -> str:
@@ -195,8 +244,9 @@ class Encoder:
         left comes first.
         """
         ranks = self.merges.get
-        for a, a_died in self.rights[left]:
-            for b, b_died in self.lefts[right]:
+        lefts = self._edge(right, 0)
+        for a, a_died in self._edge(left, 1):
+            for b, b_died in lefts:
                 rank = ranks((a, b))
                 if rank is not None and rank < a_died and rank <= b_died:
                     return False
@@ -212,59 +262,77 @@ class Encoder:
         return known
 
     def word_ids(self, word: str) -> list[int]:
-        letters = [self.inner[b] for b in word.encode()]
-        letters[-1] = self.final[letters[-1]]
+        data = word.encode()
+        symbols = [self.inner[b] for b in data]
+        symbols[-1] = _ENDING + data[-1]
+        go, tokens, known = self.automaton.go.get, self.automaton.tokens, self.allowed.get
         # Last token of each prefix, and the place where it begins.
         last, begin = [-1], [0]
-        for place, tokens in enumerate(self.automaton.endings("".join(letters)), 1):
-            for size, token in tokens:
-                before = last[place - size]
-                if size == place or before >= 0 and self.follows(before, token):
-                    last.append(token)
-                    begin.append(place - size)
+        state = size = place = 0
+        for symbol in symbols:
+            place += 1
+            target = go(state << 16 | symbol)
+            if target is None:
+                state, size = self.automaton.fall(state, symbol)
+            else:
+                state = target
+                size += 1
+            for length, token in tokens[state]:
+                # Only the state's own tokens can be longer than what has been read.
+                if length > size:
+                    continue
+                if length == place:
                     break
+                before = last[place - length]
+                if before >= 0:
+                    follows = known(before << 32 | token)
+                    if self.follows(before, token) if follows is None else follows:
+                        break
             else:
-                last.append(-1)
-                begin.append(0)
-        ids, place = [], len(letters)
+                token, length = -1, place
+            last.append(token)
+            begin.append(place - length)
+        ids = []
         while place:
             ids.append(last[place])
             place = begin[place]
         return ids[::-1]
 
-    def _word(self, word: str) -> tuple[str, str, int]:
+    def _word(self, word: str) -> bytes:
         made = self.older.get(word)
         if made is None:
-            ids = self.word_ids(word)
-            made = " ".join(map(str, ids)), " ".join([self.names[i] for i in ids]), len(ids)
-        if len(self.words) >= REMEMBERED // 2:
+            made = array("I", self.word_ids(word)).tobytes()
+        if len(self.words) >= REMEMBERED_WORDS // 2:
             # Words used since the last turn stay at hand for one more.
             self.older, self.words = self.words, {}
         self.words[word] = made
         return made
 
-    def parts_of(self, text: str) -> list[tuple[str, str, int]]:
-        """Per word or special token: its ids, its decoded tokens, and their number."""
-        out: list[tuple[str, str, int]] = []
+    def encode(self, text: str) -> array:
+        parts: list[bytes] = []
         place = 0
         for found in self.cut.finditer(text) if self.cut else ():
-            out += self._plain(text[place : found.start()])
-            out.append((str(self.special[found[0]]), found[0], 1))
+            parts += self._plain(text[place : found.start()])
+            parts.append(self.special_ids[found[0]])
             place = found.end()
-        return out + self._plain(text[place:] if place else text)
-
-    def _plain(self, text: str) -> list[tuple[str, str, int]]:
-        # Lower case letter by letter: no rule for a sigma at a word's end.
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        split = self.pieces if BEYOND_LATIN.search(text) else LATIN_PIECE
+        parts += self._plain(text[place:] if place else text)
+        return array("I", b"".join(parts))
+
+    def _plain(self, text: str) -> list[bytes]:
+        if text.isascii():
+            text, split = text.lower(), LATIN_PIECE
+        else:
+            # Lower case letter by letter: no rule for a sigma at a word's end.
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+            split = self.pieces if BEYOND_LATIN.search(text) else LATIN_PIECE
         known = self.words.get
         return [known(w) or self._word(w) for w in split.findall(text)]
 
-    def encode(self, text: str) -> list[int]:
-        return [int(i) for ids, _, _ in self.parts_of(text) for i in ids.split(" ")]
+    def decode(self, ids: Iterable[int]) -> str:
+        return " ".join([self.names[i] for i in ids])
 
-    def decode(self, ids: list[int]) -> str:
-        return " ".join(self.names[i] for i in ids)
+    def listed(self, ids: Iterable[int]) -> str:
+        return " ".join([self.numbers[i] for i in ids])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -297,7 +365,7 @@ def encode(docs: DataFrame, tokenizer_file: str, text: str = "text") -> DataFram
     def start():
         own = encoder(source.value)
         return lambda batch: {
-            "token_ids": pa.array([own.encode(t) for t in _texts(batch, text)], pa.list_(pa.int32()))
+            "token_ids": pa.array([own.encode(t).tolist() for t in _texts(batch, text)], pa.list_(pa.int32()))
         }
 
     return with_block_columns(docs, [StructField("token_ids", ArrayType(IntegerType()))], start)
@@ -330,10 +398,10 @@ def digest(docs: DataFrame, tokenizer_file: str, text: str = "text") -> DataFram
         def block(batch: pa.RecordBatch) -> dict[str, pa.Array]:
             counts, hashes, decoded = [], [], []
             for t in _texts(batch, text):
-                parts = own.parts_of(t)
-                counts.append(sum(p[2] for p in parts))
-                hashes.append(hashlib.sha256(" ".join([p[0] for p in parts]).encode()).hexdigest())
-                decoded.append(hashlib.sha256(" ".join([p[1] for p in parts]).encode()).hexdigest())
+                ids = own.encode(t)
+                counts.append(len(ids))
+                hashes.append(sha256_hex(own.listed(ids)))
+                decoded.append(sha256_hex(own.decode(ids)))
             return {
                 "n_tokens": pa.array(counts, pa.int64()),
                 "ids_sha256": pa.array(hashes, pa.string()),
