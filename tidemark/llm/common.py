@@ -79,7 +79,7 @@ def with_block_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = start()
-        for batch in _slices(batches):
+        for batch in slices(batches):
             added = block(batch)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in back), *(added[n] for n in new)], names=schema.fieldNames()
@@ -96,7 +96,7 @@ def rows_from_blocks(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = start()
-        for batch in _slices(batches):
+        for batch in slices(batches):
             made = block(batch)
             yield pa.RecordBatch.from_arrays(
                 [made[f.name] for f in schema.fields], names=schema.fieldNames()
@@ -105,7 +105,7 @@ def rows_from_blocks(
     return df.mapInArrow(run, schema)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows in smaller batches, so that a worker never holds the results of a whole one."""
     for batch in batches:
         for at in range(0, batch.num_rows, SLICE):

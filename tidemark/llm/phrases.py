@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from tidemark.llm import words as W
-from tidemark.llm.common import importable, stored, texts_of
+from tidemark.llm.common import importable, slices, stored, texts_of
 
 LONGEST = 4
 MIN_COUNT, CONTAINED_PERCENT, TOP = 30, 80, 2000
@@ -54,8 +54,9 @@ MIN_COUNT, CONTAINED_PERCENT, TOP = 30, 80, 2000
 BUDGET, MOST_PREFIXES = 1 << 18, 50_000
 # Words with a short number, 8 bytes each in every task.
 DICTIONARY = 1 << 18
-# Suffixes that a task collects before it combines equal ones and writes them.
-COLLECTED = 1 << 21
+# Distinct words, and suffixes, that a task collects before it writes them; equal suffixes are combined.
+COUNTED = 1 << 18
+COLLECTED = 1 << 18
 
 # Bytes of words, and bytes at which a piece ends.
 _WORD_BYTES = np.ones(256, dtype=bool)
@@ -82,11 +83,12 @@ def _hashes(words: W.Words, langs: list[bytes], seed: int) -> np.ndarray:
     return W.mix(plain ^ lang[words.owner()]) >> np.uint64(1)
 
 
-def _read(batch: pa.RecordBatch, size: int = 1 << 21) -> Iterator[tuple[W.Words, list[bytes]]]:
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[W.Words, list[bytes]]]:
     """Words of blocks of texts, with the language of each text."""
-    langs = texts_of(batch, "lang")
-    for at, texts in W.blocks(texts_of(batch, "text"), size):
-        yield W.Words(texts, _WORD_BYTES, lower=True), langs[at : at + len(texts)]
+    for batch in slices(batches):
+        langs = texts_of(batch, "lang")
+        for at, texts in W.blocks(texts_of(batch, "text")):
+            yield W.Words(texts, _WORD_BYTES, lower=True), langs[at : at + len(texts)]
 
 
 def _named(docs: DataFrame, lang: str, text: str) -> DataFrame:
@@ -97,29 +99,39 @@ def word_counts(docs: DataFrame, seed: int = 0) -> DataFrame:
     """``hash``, ``lang``, ``word``, ``n``: parts of the counts of every word; and of each language, without a hash."""
     importable(docs.sparkSession)
 
+    def told(counts: dict[int, list]) -> pa.RecordBatch:
+        columns = [pa.array(counts, pa.int64())]
+        columns += [pa.array([c[i] for c in counts.values()], t) for i, t in ((1, pa.string()), (2, pa.string()), (0, pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, names=_COUNTED.names)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: dict[str, list] = {n: [] for n in _COUNTED.names}
-            for words, langs in _read(batch, 1 << 22):
-                owner = words.owner()
-                found, first, n = np.unique(_hashes(words, langs, seed), return_index=True, return_counts=True)
-                data = words.data.tobytes()
-                own = [langs[i].decode() for i in owner[first].tolist()]
-                out["hash"] += found.astype(np.int64).tolist()
-                out["word"] += [
-                    data[a:b].decode() for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)
-                ]
-                out["lang"] += own
-                out["n"] += n.tolist()
-                every: Counter[bytes] = Counter()
-                for name, size in zip(langs, words.counts.tolist(), strict=True):
-                    every[name] += size
-                out["hash"] += [None] * len(every)
-                out["word"] += [None] * len(every)
-                out["lang"] += [name.decode() for name in every]
-                out["n"] += every.values()
-            types = {"hash": pa.int64(), "lang": pa.string(), "word": pa.string(), "n": pa.int64()}
-            yield pa.RecordBatch.from_arrays([pa.array(out[c], t) for c, t in types.items()], names=list(types))
+        counts: dict[int, list] = {}  # by hash: count, language, word
+        totals: Counter[bytes] = Counter()
+        for words, langs in _read(batches):
+            found, first, n = np.unique(_hashes(words, langs, seed), return_index=True, return_counts=True)
+            found, n, data = found.tolist(), n.tolist(), words.data.tobytes()
+            new = []
+            for i, h in enumerate(found):
+                if h in counts:
+                    counts[h][0] += n[i]
+                else:
+                    new.append(i)
+            at = first[new]
+            owner = np.searchsorted(words.first, at, side="right") - 1
+            for i, text, a, b in zip(new, owner.tolist(), words.starts[at].tolist(), words.ends[at].tolist(), strict=True):
+                counts[found[i]] = [n[i], langs[text].decode(), data[a:b].decode()]
+            for name, size in zip(langs, words.counts.tolist(), strict=True):
+                totals[name] += size
+            if len(counts) >= COUNTED:
+                yield told(counts)
+                counts = {}
+        yield told(counts)
+        none = pa.nulls(len(totals))
+        yield pa.RecordBatch.from_arrays(
+            [none.cast(pa.int64()), pa.array([x.decode() for x in totals], pa.string()), none.cast(pa.string()),
+             pa.array(totals.values(), pa.int64())],
+            names=_COUNTED.names,
+        )
 
     return docs.mapInArrow(count, _COUNTED)
 
@@ -261,13 +273,12 @@ def _collected(
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Suffixes and their counts (ones), ``size`` or more at a time."""
     kept, n = [], 0
-    for batch in batches:
-        for words, langs in _read(batch):
-            kept.append(suffixes.of(words, langs))
-            n += len(kept[-1])
-            if n >= size:
-                yield np.concatenate(kept), np.ones(n, np.int64)
-                kept, n = [], 0
+    for words, langs in _read(batches):
+        kept.append(suffixes.of(words, langs))
+        n += len(kept[-1])
+        if n >= size:
+            yield np.concatenate(kept), np.ones(n, np.int64)
+            kept, n = [], 0
     if n:
         yield np.concatenate(kept), np.ones(n, np.int64)
 

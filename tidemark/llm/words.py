@@ -110,7 +110,7 @@ def sum_by(first: np.ndarray, values: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
-def blocks(texts: list[bytes], limit: int = 1 << 21) -> Iterator[tuple[int, list[bytes]]]:
+def blocks(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of whole texts of about ``limit`` bytes, each with the number of its first text."""
     start, size = 0, 0
     for i, text in enumerate(texts):
