@@ -45,6 +45,8 @@ FEW = 16
 BITS = 4096
 # 64-bit numbers that the bitmap is folded to where it goes with every shingle.
 FOLDED = 8
+# Rarer shingles of a member that go with each, so that a pair is not made once more at every shingle it shares.
+BEFORE = 16
 
 _RNG = np.random.default_rng(8)
 _XOR = _RNG.integers(0, 2**63, 1024, dtype=np.uint64)
@@ -262,11 +264,20 @@ def _rarest_shared(members: DataFrame, sets: DataFrame, labels: DataFrame, perce
         .select("class", "n", "component", "own", (F.col("n") - F.size("own")).alias("alone"))
         .select("class", "n", "component", "alone", F.expr("slice(own, 1, size(own))").alias("own"), first.alias("first"))
         .where("first > alone")
+        .select("class", "n", "component", "alone", F.expr("slice(own.shingle, 1, cast(first - alone as int))").alias("own"))
+        # Each with the few before it: two members that share one of those are paired there already.
         .select(
-            "class", "n", "component",
-            F.posexplode(F.expr("slice(own, 1, cast(first - alone as int))")).alias("at", "item"), "alone",
+            "class", "n", "component", "alone",
+            F.posexplode(
+                F.expr(
+                    "transform(own, (x, i) -> named_struct('shingle', x, "
+                    f"'before', slice(own, greatest(i - {BEFORE - 1}, 1), least(i, {BEFORE}))))"
+                )
+            ).alias("at", "item"),
+        )
+        .select(
+            "class", "n", "component", (F.col("n") - F.col("alone") - F.col("at")).alias("rest"), "item.shingle", "item.before"
         )
-        .select("class", "n", "component", (F.col("n") - F.col("alone") - F.col("at")).alias("rest"), "item.shingle")
         .join(sets.select("class", *folded), "class")
     )
     left, right = ordered.alias("l"), ordered.alias("r")
@@ -285,6 +296,7 @@ def _rarest_shared(members: DataFrame, sets: DataFrame, labels: DataFrame, perce
             & (F.col("l.component") != F.col("r.component"))
             & enough("l")
             & enough("r")
+            & ~F.arrays_overlap("l.before", "r.before")
             & _similar(possible, F.col("l.n"), F.col("r.n"), percent),
         )
         .select(F.col("l.class").alias("a"), F.col("r.class").alias("b"))

@@ -52,6 +52,8 @@ MIN_COUNT, CONTAINED_PERCENT, TOP = 30, 80, 2000
 # Leaves of a group that fit a task's memory (40 bytes each, a few copies of them), and the most prefixes that are told
 # to every task; only beyond the product of both does the budget grow with the data.
 BUDGET, MOST_PREFIXES = 1 << 18, 50_000
+# Groups that smaller inputs are dealt to, so that all tasks have some and the cut is alike at every size.
+GROUPS, LEAST_BUDGET = 512, 1 << 12
 # Words with a short number, 8 bytes each in every task.
 DICTIONARY = 1 << 18
 # Distinct words, and suffixes, that a task collects before it writes them; equal suffixes are combined.
@@ -290,7 +292,7 @@ def cut_tree(docs: DataFrame, vocab: Vocabulary, depth: int, budget: int, most_p
     that is at least this part of all suffixes; so they fit every task.
     """
     total = vocab.words.agg(F.sum("f").alias("n")).first().n or 0
-    budget = max(budget, total // most_prefixes)
+    budget = max(min(budget, max(total // GROUPS, LEAST_BUDGET)), total // most_prefixes)
     extended: list[Prefixes] = []
     # One word: from the counts of words. Longer ones: their suffixes are counted, of too frequent prefixes alone.
     table = vocab.words.where(F.col("f") > budget).select("id").toArrow()
