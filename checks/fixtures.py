@@ -99,8 +99,9 @@ def bike_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         iso(F.col("ts")).alias("extracted_at"),
         F.concat(F.lit("BikePoints_"), text(F.col("user_id"))).alias("bike_point_id"),
         F.concat(F.lit(" Stop "), text(F.col("user_id")), F.lit("\r\n")).alias("name"),
-        (F.lit(51.0) + user / F.lit(1000.0)).alias("lat"),
-        (F.lit(0.0) - user / F.lit(1000.0)).alias("lon"),
+        # Some stations have no position.
+        F.when(F.col("k") % 9 != 4, F.lit(51.0) + user / F.lit(1000.0)).alias("lat"),
+        F.when(F.col("k") % 9 != 4, F.lit(0.0) - user / F.lit(1000.0)).alias("lon"),
         (F.floor("value").cast("int") % 45).alias("nb_bikes"),
         (F.col("k") % 13).alias("nb_empty_docks"),
         (F.col("k") % 40).alias("nb_docks"),
@@ -138,6 +139,27 @@ def gate_records(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def faulty_records(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The same with a document per event: some are empty, for air quality all of one hour, and some are there twice."""
+    k = F.col("k")
+    copies = F.explode(F.array_repeat(F.lit(1), F.when(k % 41 == 5, 2).otherwise(1)))
+    ev = events(spark, sf_dir).withColumn("copy", copies)
+    bands = F.array(*map(F.lit, ("Low", "Moderate", "High", "Very High", " Low", "Extreme", "")))
+    values = {
+        "line_status": [(k % 23 - 1).alias("status_severity")],
+        "bike_points": [(F.floor("value").cast("int") % 45 - 1).alias("nb_bikes"), (k % 40 - 1).alias("nb_docks")],
+        "air_quality": [F.get(bands, k % 7).alias("forecast_band")],
+    }
+    hour = {"air_quality": F.hour("ts") != 5}
+    return {
+        name: ev.select(
+            iso(F.date_trunc("hour", "ts")).alias("extracted_at"), F.col("event_id").alias("document"),
+            (hour.get(name, F.lit(True)) & (k % 50 != 7)).alias("is_record"), *columns,
+        )
+        for name, columns in values.items()
+    }
+
+
 # --- documents -----------------------------------------------------------------
 
 
@@ -230,7 +252,10 @@ def landed_documents(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     ev = events(spark, sf_dir)
 
     def page(payload: Column) -> DataFrame:
-        return ev.select(at.alias("extracted_at"), payload.alias("payload"), F.col("extracted_date").alias("date"))
+        return ev.select(
+            at.alias("extracted_at"), F.col("event_id").alias("page"), payload.alias("payload"),
+            F.col("extracted_date").alias("date"),
+        )
 
     def status(severity: Column) -> Column:
         return F.struct(

@@ -186,8 +186,10 @@ FROM (SELECT extracted_at, extracted_date, station_id, name, lat, lon, nb_bikes,
              {occupancy('nb_bikes', 'nb_docks')} AS occupancy_pct
       FROM (SELECT ts AS extracted_at, CAST(ts AS DATE) AS extracted_date, CAST(user_id AS INT) AS station_id,
                    'Stop ' || user_id AS name,
-                   CAST(51 AS DOUBLE) + CAST(user_id AS DOUBLE) / CAST(1000 AS DOUBLE) AS lat,
-                   CAST(0 AS DOUBLE) - CAST(user_id AS DOUBLE) / CAST(1000 AS DOUBLE) AS lon,
+                   CASE WHEN k % 9 = 4 THEN 'NaN'::DOUBLE
+                     ELSE CAST(51 AS DOUBLE) + CAST(user_id AS DOUBLE) / CAST(1000 AS DOUBLE) END AS lat,
+                   CASE WHEN k % 9 = 4 THEN 'NaN'::DOUBLE
+                     ELSE CAST(0 AS DOUBLE) - CAST(user_id AS DOUBLE) / CAST(1000 AS DOUBLE) END AS lon,
                    CAST(floor(value) AS INT) % 45 AS nb_bikes, k % 40 AS nb_docks, k FROM ev)) AS b"""
 )
 
@@ -290,10 +292,55 @@ per_snapshot AS (
   FROM checked GROUP BY dataset, snapshot, needed)
 SELECT dataset, CAST(snapshot AS DATE) AS extracted_date, count(*) AS snapshots, CAST(sum(records) AS BIGINT) AS records,
        count(*) FILTER (WHERE records < needed) AS short_snapshots, CAST(sum(violations) AS BIGINT) AS violations,
+       0::BIGINT AS repeated_documents,
        count(*) FILTER (WHERE records < needed) = 0 AND sum(violations) = 0 AS passed
 FROM per_snapshot GROUP BY 1, 2""".lstrip()
 )
 
+QUALITY_GATE = over(
+    query="""
+, copied AS (SELECT * FROM ev UNION ALL SELECT * FROM ev WHERE k % 41 = 5),
+checked AS (
+  SELECT 'line_status' AS dataset, date_trunc('hour', ts) AS snapshot, event_id, 5 AS needed, k % 50 <> 7 AS is_record,
+         (k % 23 - 1) NOT BETWEEN 0 AND 20 AS violates FROM copied
+  UNION ALL
+  SELECT 'bike_points', date_trunc('hour', ts), event_id, 100, k % 50 <> 7, CAST(floor(value) AS INT) % 45 < 1 OR k % 40 < 1
+  FROM copied
+  UNION ALL
+  SELECT 'air_quality', date_trunc('hour', ts), event_id, 1, k % 50 <> 7 AND hour(ts) <> 5, k % 7 > 3 FROM copied),
+per_document AS (
+  SELECT dataset, snapshot, needed, event_id, count(*) AS times, count(*) FILTER (WHERE is_record) AS records,
+         count(*) FILTER (WHERE is_record AND violates) AS violations
+  FROM checked GROUP BY ALL),
+per_snapshot AS (
+  SELECT dataset, snapshot, needed, sum(records) AS records, sum(violations) AS violations,
+         count(*) FILTER (WHERE times > 1) AS repeated
+  FROM per_document GROUP BY dataset, snapshot, needed),
+per_day AS (
+  SELECT dataset, CAST(snapshot AS DATE) AS day, count(*) AS snapshots, sum(records) AS records,
+         count(*) FILTER (WHERE records < needed) AS short, sum(violations) AS violations, sum(repeated) AS repeated
+  FROM per_snapshot GROUP BY ALL),
+asked AS (
+  SELECT dataset, day FROM (VALUES ('line_status'), ('bike_points'), ('air_quality')) AS d(dataset),
+    (SELECT DISTINCT CAST(ts AS DATE) AS day FROM ev WHERE CAST(ts AS DATE) > (SELECT min(CAST(ts AS DATE)) FROM ev)
+     UNION ALL SELECT DATE '2030-01-01')),
+found AS (
+  SELECT dataset, day, coalesce(snapshots, 0) AS snapshots, coalesce(records, 0) AS records, coalesce(short, 0) AS short,
+         coalesce(violations, 0) AS violations, coalesce(repeated, 0) AS repeated, 0 AS stray_dates, NULL::DATE AS first_stray,
+         NULL::DATE AS last_stray,
+         coalesce(snapshots > 0 AND short = 0 AND violations = 0 AND repeated = 0, false) AS passed, 'faulty' AS input
+  FROM asked LEFT JOIN per_day USING (dataset, day)
+  UNION ALL
+  SELECT dataset, NULL, sum(snapshots), sum(records), sum(short), sum(violations), sum(repeated), count(*), min(day), max(day), false, 'faulty'
+  FROM per_day ANTI JOIN asked USING (dataset, day) GROUP BY dataset
+  UNION ALL
+  SELECT dataset, day, 0, 0, 0, 0, 0, 0, NULL, NULL, false, 'empty' FROM asked WHERE dataset = 'line_status')
+SELECT dataset, day AS extracted_date, CAST(snapshots AS BIGINT) AS snapshots, CAST(records AS BIGINT) AS records,
+       CAST(short AS BIGINT) AS short_snapshots, CAST(violations AS BIGINT) AS violations, CAST(repeated AS BIGINT) AS repeated_documents,
+       CAST(stray_dates AS BIGINT) AS stray_dates, first_stray, last_stray, passed, input
+FROM found""".lstrip()
+)
+
 _MINIMUM = {"bronze_line_status": 5, "bronze_bike_points": 100}
 _DAY = {name: "extracted_date" for name in STORED_BRONZE} | {name: "summary_date" for name in STORED_GOLD}
 
@@ -331,6 +378,13 @@ REPARTITION_ALL = stored(
     *STORED_GOLD,
 )
 
+STORED_ROW_ORDER = stored(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS rows_stored, 0::BIGINT AS misplaced FROM {name}" for name in _DAY
+    ),
+    *STORED_GOLD,
+)
+
 ORACLES: dict[str, str] = {
     "flatten_line_status": FLATTEN_LINE_STATUS,
     "flatten_bike_points": FLATTEN_BIKE_POINTS,
@@ -342,6 +396,9 @@ ORACLES: dict[str, str] = {
     "gold_hourly_line": over(LINE_BRONZE, query=hourly_line("line_bronze")),
     "gold_daily_bike": over(BIKE_BRONZE, query=daily_bike("bike_bronze")),
     "gold_hourly_bike": over(BIKE_BRONZE, query=hourly_bike("bike_bronze")),
+    "gold_daily_line_from_hours": over(LINE_BRONZE, query=daily_line("line_bronze")),
+    "gold_daily_bike_from_hours": over(BIKE_BRONZE, query=daily_bike("bike_bronze")),
+    "stored_row_order": STORED_ROW_ORDER,
     "gold_daily_air": over(AIR_BRONZE, query=daily_air("air_bronze")),
     **{f"stored_{name}": stored(f"SELECT * FROM {name}") for name in STORED_BRONZE},
     **{f"stored_{name}": stored(f"SELECT * FROM {name}", name) for name in STORED_GOLD},
@@ -351,6 +408,7 @@ ORACLES: dict[str, str] = {
     "air_trend_30d": AIR_TREND,
     "snapshot_history": SNAPSHOT_HISTORY,
     "quality_raw": QUALITY_RAW,
+    "quality_gate": QUALITY_GATE,
     "quality_load": QUALITY_LOAD,
     "replace_dates": REPLACE_DATES,
     "repartition_by_date": REPARTITION_BY_DATE,

@@ -6,11 +6,11 @@ from collections.abc import Callable
 from datetime import date
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import fixtures
-from checks.warehouse import new_database, warehouse
+from checks.warehouse import days, new_database, warehouse
 from tidemark import schemas
 from tidemark.operators import clean, gold, quality, tables
 from tidemark.plans import analytics
@@ -19,6 +19,9 @@ from tidemark.sources import flatten_air_quality, flatten_bike_points, flatten_l
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# A date that nothing landed for.
+ABSENT = date(2030, 1, 1)
+
 
 def _wall_clock(df: DataFrame) -> DataFrame:
     """UTC instants as plain timestamps, as the test tables have them."""
@@ -37,6 +40,32 @@ def _stored(table: schemas.Table, spark: SparkSession, sf_dir: str) -> DataFrame
     return _wall_clock(df) if "extracted_at" in df.columns else df
 
 
+def row_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.stored_row_totals(spark, warehouse(spark, sf_dir).database)
+
+
+def latest_disruption(spark: SparkSession, sf_dir: str) -> DataFrame:
+    built, table = warehouse(spark, sf_dir), schemas.GOLD_DAILY_LINE
+    return analytics.latest_disruption(built.table(spark, table), tables.latest_date(spark, built.database, table))
+
+
+def stored_row_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each stored table, and how many are smaller than the row before them in their file."""
+    built = warehouse(spark, sf_dir)
+
+    def misplaced(table: schemas.Table) -> DataFrame:
+        rows = spark.table(f"{built.database}.{table.name}").select(
+            F.struct(*table.sort_columns).alias("key"), "_metadata.file_path", "_metadata.row_index"
+        )
+        before = F.lag("key").over(Window.partitionBy("file_path").orderBy("row_index"))
+        return rows.withColumn("before", before).agg(
+            F.lit(table.name).alias("table_name"), F.count("*").alias("rows_stored"),
+            F.count_if(F.col("key") < F.col("before")).alias("misplaced"),
+        )
+
+    return reduce(DataFrame.unionByName, map(misplaced, schemas.TABLES.values()))
+
+
 def _over_stored(operator: Callable[..., DataFrame], *needed: schemas.Table) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         built = warehouse(spark, sf_dir)
@@ -49,10 +78,21 @@ def quality_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.raw_metrics(fixtures.gate_records(spark, sf_dir))
 
 
+def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Empty and repeated documents, a date that is absent, one not asked for, and a dataset without any document."""
+    dates = [*days(spark, sf_dir)[1:], ABSENT]
+    records = fixtures.faulty_records(spark, sf_dir)
+    faulty = quality.raw_metrics(records, dates)
+    empty = quality.raw_metrics(records | {"line_status": records["line_status"].where("false")}, dates)
+    return faulty.withColumn("input", F.lit("faulty")).unionByName(
+        empty.where("dataset = 'line_status'").withColumn("input", F.lit("empty"))
+    )
+
+
 def quality_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts per stored table and date, all eight tables, and one date never loaded."""
     built = warehouse(spark, sf_dir)
-    dates = [*built.dates, date(2030, 1, 1)]
+    dates = [*built.dates, ABSENT]
     return quality.load_metrics(spark, built.database, dates, quality.DAILY_GOLD + quality.HOURLY_GOLD)
 
 
@@ -114,6 +154,16 @@ def repartition_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def _daily_line_from_hours(bronze: DataFrame) -> DataFrame:
+    daily = gold.merge_line_state(gold.hourly_line_state(bronze), gold.DAY)
+    return gold.finish_line(daily, schemas.GOLD_DAILY_LINE)
+
+
+def _daily_bike_from_hours(bronze: DataFrame) -> DataFrame:
+    daily = gold.merge_bike_state(gold.hourly_bike_state(bronze), gold.DAY)
+    return gold.finish_bike(daily, schemas.GOLD_DAILY_BIKE)
+
+
 QUERIES: dict[str, Query] = {
     "flatten_line_status": _over(flatten_line_status, fixtures.line_documents),
     "flatten_bike_points": _over(flatten_bike_points, fixtures.bike_documents),
@@ -126,16 +176,20 @@ QUERIES: dict[str, Query] = {
     "gold_daily_bike": _over(gold.daily_bike, fixtures.bike_bronze),
     "gold_hourly_bike": _over(gold.hourly_bike, fixtures.bike_bronze),
     "gold_daily_air": _over(gold.daily_air, fixtures.air_bronze),
+    "gold_daily_line_from_hours": _over(_daily_line_from_hours, fixtures.line_bronze),
+    "gold_daily_bike_from_hours": _over(_daily_bike_from_hours, fixtures.bike_bronze),
+    "stored_row_order": stored_row_order,
     # Tables as the whole pipeline leaves them, from landed JSON on.
     **{f"stored_{name}": partial(_stored, table) for name, table in schemas.TABLES.items()},
-    "row_totals": _over_stored(analytics.row_totals, *schemas.BRONZE.values()),
-    "latest_disruption": _over_stored(analytics.latest_disruption, schemas.GOLD_DAILY_LINE),
+    "row_totals": row_totals,
+    "latest_disruption": latest_disruption,
     "busiest_stations": _over_stored(analytics.busiest_stations, schemas.GOLD_DAILY_BIKE),
     "air_trend_30d": _over_stored(
         partial(analytics.air_trend, as_of=date(2024, 2, 14)), schemas.GOLD_DAILY_AIR
     ),
     "snapshot_history": _over_stored(analytics.snapshot_history, schemas.BRONZE_LINE_STATUS),
     "quality_raw": quality_raw,
+    "quality_gate": quality_gate,
     "quality_load": quality_load,
     "replace_dates": replace_dates,
     "repartition_by_date": repartition_by_date,

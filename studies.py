@@ -21,6 +21,7 @@ from tidemark import schemas  # noqa: E402
 from tidemark.operators import gold, tables  # noqa: E402
 from tidemark.plans import job  # noqa: E402
 from tidemark.session import scratch_folder  # noqa: E402
+from tidemark.sources import read_snapshots  # noqa: E402
 
 
 def noop(df) -> None:
@@ -53,8 +54,27 @@ def main() -> None:
             noop(gold.hourly_bike(bikes))
             noop(gold.daily_bike(bikes))
 
+    landing = stored.land(spark, sf_dir, f"{scratch_folder(spark)}/landing")
+
+    def load(staged: bool) -> str:
+        """One load of all dates by either plan, without gold; where it is."""
+        database, location = stored.new_database(), scratch_folder(spark)
+        more = (built.dates, location, stored.MIN_RECORDS)
+        if staged:
+            job._load_staged(spark, landing, database, *more, None)
+        else:
+            job._load_once(spark, landing, database, *more)
+        return database
+
     rebuild(built.dates)
-    results = {"all_dates_one_job": timed(lambda: rebuild(built.dates)), "all_dates_one_by_one": timed(one_by_one)}
+    loads = {}
+    for staged in (False, True, False, True):
+        name = "load_staged" if staged else "load_once"
+        loads[name] = min(loads.get(name, float("inf")), timed(lambda: load(staged)))
+    records = read_snapshots(spark, landing, built.dates, keep_empty=True)
+    flat = job.stage(records, scratch_folder(spark))
+    loads["staged_bytes"] = bytes_of([f for frame in flat.values() for f in frame.inputFiles()])
+    results = loads | {"all_dates_one_job": timed(lambda: rebuild(built.dates)), "all_dates_one_by_one": timed(one_by_one)}
 
     dense = stored.new_database()
     tables.ensure_tables(spark, dense, scratch_folder(spark))

@@ -7,14 +7,17 @@ import os
 import random
 import subprocess
 import sys
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators import quality, tables
+from tidemark.operators.clean import clean_all
 from tidemark.plans import analytics, job
+from tidemark.sources import read_snapshots
 
 ROOT = Path(__file__).resolve().parents[1]
 DATES = [date(2026, 7, 18) + timedelta(days=n) for n in range(3)]
@@ -138,10 +141,74 @@ def test_snapshot_in_the_wrong_folder_fails_the_gate(spark, landing, database, t
         run(spark, landing, database, DATES[:1], tmp_path)
 
 
+def test_staged_load_gives_the_same_tables(spark, landing, database, tmp_path, monkeypatch):
+    run(spark, landing, database, DATES[:2], tmp_path, staged=True)
+    staged, other = content(spark, database), f"{database}_once"
+    monkeypatch.setattr(job, "stage", lambda *a: pytest.fail("nothing is staged"))
+    try:
+        run(spark, landing, other, DATES[:2], tmp_path)
+        assert content(spark, other) == staged
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {other} CASCADE")
+
+
+@pytest.mark.parametrize("staged", [False, True])
+def test_document_landed_twice_fails_its_date(spark, landing, database, tmp_path, staged):
+    path = landing / "bike_points" / f"date={DATES[1]}"
+    envelope = (path / "08.json").read_text()
+    (path / "08-again.json").write_text(envelope)
+    with pytest.raises(quality.QualityError) as error:
+        run(spark, landing, database, DATES, tmp_path, staged=staged)
+    assert str(error.value).count("dataset=") == 1
+    assert f"dataset=bike_points, extracted_date={DATES[1]}" in str(error.value) and "repeated_documents=1" in str(error.value)
+    # As another page of the snapshot it is no repetition; an empty document is told too.
+    (path / "08-again.json").write_text(json.dumps(json.loads(envelope) | {"page": 1}) + "\n")
+    run(spark, landing, database, DATES, tmp_path, staged=staged)
+    assert tables.read_table(spark, database, schemas.BRONZE_BIKE_POINTS, DATES[1:2]).count() == 4 * 110
+
+
+def test_failed_gate_leaves_no_files(spark, landing, database, tmp_path):
+    run(spark, landing, database, DATES[:1], tmp_path)
+    before = sorted(p.name for p in (tmp_path / database).rglob("load=*"))
+    land(landing, DATES[0], 22, faulty("bad band"))
+    with pytest.raises(quality.QualityError):
+        run(spark, landing, database, DATES[:1], tmp_path)
+    assert sorted(p.name for p in (tmp_path / database).rglob("load=*")) == before
+
+
+@pytest.mark.parametrize("dataset", schemas.DATASETS)
+def test_cleaner_of_nothing_fails_the_load(spark, landing, database, tmp_path, dataset):
+    tables.ensure_tables(spark, database, f"{tmp_path}/db")
+    records = read_snapshots(spark, str(landing), DATES[:1])
+    job.load_bronze(spark, clean_all(records), database, DATES[:1])
+    before = content(spark, database)
+    empty = clean_all(records | {dataset: records[dataset].where("false")})
+    with pytest.raises(quality.QualityError, match=f"no {dataset.replace('_', ' ')} records to clean"):
+        job.load_bronze(spark, empty, database, DATES[:1])
+    none_left = clean_all(records)
+    none_left[dataset] = none_left[dataset].withColumn("kept", F.lit(False))
+    with pytest.raises(quality.QualityError, match=f"cleaned {dataset.replace('_', ' ')} is empty"):
+        job.load_bronze(spark, none_left, database, DATES[:1])
+    assert content(spark, database) == before
+
+
+def test_tidy_removes_replaced_rows(spark, landing, database, tmp_path, monkeypatch):
+    for _ in range(2):
+        run(spark, landing, database, DATES[:1], tmp_path)
+    before, folder = content(spark, database), tmp_path / database
+    monkeypatch.setattr(job, "build_session", lambda: spark)
+    old = (datetime.now() - timedelta(days=2)).timestamp()
+    for load in folder.rglob("load=*"):
+        os.utime(load, (old, old))
+    job.main(["tidy", "--database", database])
+    assert len(list(folder.rglob("load=*"))) == 8 and content(spark, database) == before
+
+
 def test_scratch_folder_is_removed(spark, landing, database, tmp_path):
     shared = Path(spark.conf.get("spark.checkpoint.dir"))
-    run(spark, landing, database, DATES[:1], tmp_path)
-    assert not list(shared.glob("tidemark-*"))
+    before = set(shared.glob("tidemark-*"))
+    run(spark, landing, database, DATES[:1], tmp_path, staged=True)
+    assert set(shared.glob("tidemark-*")) == before
 
 
 def test_wrong_session_settings_are_refused(spark, landing, database, tmp_path):

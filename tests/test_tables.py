@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 from pathlib import Path
 
 import pytest
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tests.plans import formatted_plan
 from tidemark import schemas
 from tidemark.operators import tables
+from tidemark.plans import analytics
 
 D1, D2, D3 = date(2026, 7, 19), date(2026, 7, 20), date(2026, 7, 21)
 SCHEMA = "extracted_date date, station_id int, nb_bikes int"
@@ -268,3 +269,153 @@ def test_no_table_is_created_over_a_broken_off_swap(spark, flat, monkeypatch, ke
     tables.ensure_tables(spark, flat)
     assert tables.read_table(spark, flat, schemas.BRONZE_AIR_QUALITY).count() == 3
     assert tables.is_partitioned(spark, f"{flat}.{name}") is keep_copy
+
+
+# --- publishing --------------------------------------------------------------
+
+
+def watch_sql(spark, monkeypatch, after):
+    """Calls ``after(statement)`` when a statement that changes partitions has run."""
+    real = type(spark).sql
+
+    def watched(self, text, *args, **kwargs):
+        result = real(self, text, *args, **kwargs)
+        if text.startswith("ALTER TABLE") and "PARTITION" in text:
+            after(text)
+        return result
+
+    monkeypatch.setattr(type(spark), "sql", watched)
+
+
+def test_readers_never_miss_a_date(spark, table, monkeypatch):
+    replace(batch(spark, 4, D1, D2, bikes=1), table, D1, D2)
+    seen = []
+    watch_sql(spark, monkeypatch, lambda text: seen.append([content(spark, table, day) for day in (D1, D2)]))
+    replace(batch(spark, 3, D1, D2, D3), table, D1, D2, D3)
+    monkeypatch.undo()
+    old, new = ([[(day, i, bikes) for i in range(n)] for day in (D1, D2)] for n, bikes in ((4, 1), (3, 5)))
+    assert seen == [[new[0], old[1]], new, new]
+    assert content(spark, table, D3) == [(D3, i, 5) for i in range(3)]
+
+
+def test_stopped_job_leaves_whole_dates(spark, table, monkeypatch):
+    replace(batch(spark, 4, D1, D2, bikes=1), table, D1, D2)
+    before = content(spark, table)
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "publish", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            replace(batch(spark, 3, D1, D2), table, D1, D2)
+    assert content(spark, table) == before
+
+    def stop(text):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        watch_sql(spark, patch, stop)
+        with pytest.raises(KeyboardInterrupt):
+            replace(batch(spark, 3, D1, D2), table, D1, D2)
+    assert content(spark, table) == [(D1, i, 5) for i in range(3)] + [(D2, i, 1) for i in range(4)]
+    replace(batch(spark, 3, D1, D2), table, D1, D2)
+    assert content(spark, table) == [(d, i, 5) for d in (D1, D2) for i in range(3)]
+
+
+def loads(tmp_path):
+    return sorted(p.name for p in tmp_path.rglob("load=*"))
+
+
+def test_failed_write_leaves_nothing_behind(spark, table, tmp_path):
+    replace(batch(spark, 4, D1), table, D1)
+    before = loads(tmp_path)
+    with pytest.raises(Exception, match="row outside"):
+        replace(batch(spark, 4, D1, D2), table, D1)
+    assert loads(tmp_path) == before and len(before) == 1
+
+
+def test_stale_loads_are_dropped_once_old_enough(spark, table, tmp_path):
+    for n in (4, 3):
+        replace(batch(spark, n, D1, D2), table, D1, D2)
+    replace(batch(spark, 2, D1), table, D1)
+    assert tables.drop_stale_loads(spark, table) == [] and len(loads(tmp_path)) == 3
+    assert len(tables.drop_stale_loads(spark, table, timedelta(seconds=-5))) == 1 and len(loads(tmp_path)) == 2
+    assert content(spark, table) == [(D1, i, 5) for i in range(2)] + [(D2, i, 5) for i in range(3)]
+
+
+def test_rows_that_are_not_kept_belong_to_no_partition(spark, table):
+    load = tables.new_load(spark, table, "extracted_date", [D1, D2])
+    rows = batch(spark, 4, D1, D2, D3).withColumn("kept", (F.col("station_id") > 0) & (F.col("extracted_date") < D3))
+    written = tables.write_load(rows.withColumn("flag", F.lit(True)), load, ["station_id"], ["flag"])
+    assert (written.rows, written.kept, written.written) == (12, 6, (D1, D2))
+    assert content(spark, table) == []
+    assert spark.read.schema("flag boolean").parquet(load.folder).where("flag").count() == 12
+    tables.publish(spark, written)
+    assert content(spark, table) == [(d, i, 5) for d in (D1, D2) for i in range(1, 4)]
+
+
+# --- metadata ------------------------------------------------------------------
+
+
+def test_counts_come_from_footers_of_both_layouts(spark, flat):
+    table = schemas.BRONZE_AIR_QUALITY
+    tables.repartition_by_date(spark, flat, table.name, table.date_column, ("forecast_type",))
+    tables.load_table(air_rows(spark, D3, D3, D3), flat, table, [D3])
+    assert tables.row_counts(spark, flat, table) == {D1: 1, D2: 2, D3: 3}
+    assert tables.row_counts(spark, flat, table, [D2, date(2030, 1, 1)]) == {D2: 2}
+    assert tables.row_counts(spark, flat, table, [date(2030, 1, 1)]) == {}
+    frames = tables._footer_counts(spark, flat, table, None)
+    assert len(frames) == 2
+    for frame in frames:
+        plan = formatted_plan(frame)
+        assert "PushedAggregation: [COUNT(*)]" in plan and "PushedGroupBy: [extracted_date" in plan
+
+
+def test_latest_date_reads_nothing(spark, database, tmp_path):
+    tables.ensure_tables(spark, database, f"{tmp_path}/db")
+    table = schemas.BRONZE_AIR_QUALITY
+    assert tables.latest_date(spark, database, table) is None
+    tables.load_table(air_rows(spark, D1, D3), database, table, [D1, D3])
+    for file in files(tmp_path, D3):
+        file.unlink()
+    assert tables.latest_date(spark, database, table) == D3
+    daily = tables.read_table(spark, database, schemas.GOLD_DAILY_LINE)
+    assert "ubquery" not in formatted_plan(analytics.latest_disruption(daily, D3))
+
+
+# --- swaps ---------------------------------------------------------------------
+
+
+def test_copy_with_one_changed_value_is_refused(spark, flat, monkeypatch):
+    name, original = "bronze_air_quality", tables._rebalance
+    changed = F.when(F.col("extracted_date") == D1, "changed").otherwise(F.col("no2_band"))
+    monkeypatch.setattr(tables, "_rebalance", lambda df, column: original(df, column).withColumn("no2_band", changed))
+    with pytest.raises(RuntimeError, match="differ on 1 dates from 2026-07-19 to 2026-07-19: 3 rows but 3 in the copy"):
+        tables.repartition_by_date(spark, flat, name, "extracted_date", ("forecast_type",))
+    assert not tables.is_partitioned(spark, f"{flat}.{name}")
+
+
+def test_differing_dates_see_repeated_rows(spark):
+    one = batch(spark, 2, D1, D2)
+    assert tables.differing_dates(one, one.orderBy(F.desc("station_id")), "extracted_date").count() == 0
+    twice = one.where(f"extracted_date = '{D1}' AND station_id = 0")
+    swapped = one.where(f"NOT (extracted_date = '{D1}' AND station_id = 1)").union(twice)
+    assert [r.day for r in tables.differing_dates(one, swapped, "extracted_date").collect()] == [D1]
+
+
+def test_table_dropped_after_a_swap_stays_dropped(spark, flat):
+    name = "bronze_air_quality"
+    tables.repartition_by_date(spark, flat, name, "extracted_date", ("forecast_type",))
+    spark.sql(f"DROP TABLE {flat}.{name}")
+    tables.ensure_tables(spark, flat)
+    assert spark.table(f"{flat}.{name}").count() == 0
+    assert spark.table(f"{flat}.{name}_pre_partition_backup").count() == 3
+
+
+def test_swap_that_broke_off_behind_its_second_rename_is_ended(spark, flat, monkeypatch):
+    name = "bronze_air_quality"
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_find_partitions", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            tables.repartition_by_date(spark, flat, name, "extracted_date", ("forecast_type",))
+    tables.finish_swap(spark, flat, name)
+    assert tables.read_table(spark, flat, schemas.BRONZE_AIR_QUALITY).count() == 3
+    assert tables._swap_of(spark, f"{flat}.{name}") is None
+    assert tables._swap_of(spark, f"{flat}.{name}_pre_partition_backup") is None

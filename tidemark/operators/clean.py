@@ -1,10 +1,13 @@
 """Cleaners: flat records in, typed and enriched bronze rows out.
 
-They are projections only, so they run inside the scan stage.
+They are projections only, so they run inside the scan stage. Columns named in
+``extra`` pass through behind those of the table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +23,7 @@ from tidemark.functions import (
 from tidemark.session import require_settings
 
 
-def clean_line_status(records: DataFrame) -> DataFrame:
+def clean_line_status(records: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     severity = F.col("status_severity").cast("int")
     return records.select(
         *_extracted(records),
@@ -31,16 +34,21 @@ def clean_line_status(records: DataFrame) -> DataFrame:
         strip(F.col("status_description")).alias("status_description"),
         strip(F.col("disruption_reason")).alias("disruption_reason"),
         F.col("is_disrupted").cast("boolean").alias("is_disrupted"),
-    ).select(*schemas.BRONZE_LINE_STATUS.columns)
+        *extra,
+    ).select(*schemas.BRONZE_LINE_STATUS.columns, *extra)
 
 
-def clean_bike_points(records: DataFrame) -> DataFrame:
+def clean_bike_points(records: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    station = trailing_number(F.col("bike_point_id"))
+    if "is_record" in records.columns:
+        # The row of an empty document has no identifier, which must not fail here.
+        station = F.when(F.col("is_record"), station)
     bikes = F.col("nb_bikes").cast("int")
     docks = F.col("nb_docks").cast("int")
     return (
         records.select(
             *_extracted(records),
-            trailing_number(F.col("bike_point_id")).alias("station_id"),
+            station.alias("station_id"),
             "bike_point_id",
             strip(F.col("name")).alias("name"),
             _coordinate("lat"),
@@ -49,24 +57,25 @@ def clean_bike_points(records: DataFrame) -> DataFrame:
             F.col("nb_empty_docks").cast("int").alias("nb_empty_docks"),
             docks.alias("nb_docks"),
             occupancy(bikes, docks).alias("occupancy_pct"),
+            *extra,
         )
         .withColumn(
             "availability_status",
             bucket_label(F.col("occupancy_pct"), schemas.OCCUPANCY_BUCKETS, schemas.NO_BUCKET),
         )
-        .select(*schemas.BRONZE_BIKE_POINTS.columns)
+        .select(*schemas.BRONZE_BIKE_POINTS.columns, *extra)
     )
 
 
-def clean_air_quality(records: DataFrame) -> DataFrame:
+def clean_air_quality(records: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     texts = ("forecast_type", "forecast_band", "forecast_summary", *schemas.POLLUTANT_BANDS)
     return (
-        records.select(*_extracted(records), *(strip(F.col(name)).alias(name) for name in texts))
+        records.select(*_extracted(records), *(strip(F.col(name)).alias(name) for name in texts), *extra)
         .withColumn(
             "forecast_score",
             code_label(F.col("forecast_band"), schemas.BAND_SCORES, schemas.UNKNOWN_SCORE),
         )
-        .select(*schemas.BRONZE_AIR_QUALITY.columns)
+        .select(*schemas.BRONZE_AIR_QUALITY.columns, *extra)
     )
 
 
@@ -77,8 +86,8 @@ CLEANERS = {
 }
 
 
-def clean_all(records: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {dataset: clean(records[dataset]) for dataset, clean in CLEANERS.items()}
+def clean_all(records: dict[str, DataFrame], extra: Sequence[str] = ()) -> dict[str, DataFrame]:
+    return {dataset: clean(records[dataset], extra) for dataset, clean in CLEANERS.items()}
 
 
 def _extracted(records: DataFrame) -> tuple[Column, Column]:

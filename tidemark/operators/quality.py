@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.operators.tables import read_table
+from tidemark.operators.tables import row_counts
 
 # Fewest records per snapshot, and fewest bronze rows per date.
 MIN_RECORDS = {schemas.LINE_STATUS: 5, schemas.BIKE_POINTS: 100, schemas.AIR_QUALITY: 1}
@@ -48,7 +48,9 @@ def raw_metrics(
     """One row per dataset and date, over flat records before cleaning.
 
     A snapshot is what shares one ``extracted_at``. Frames flattened with
-    ``keep_empty`` also count snapshots without records. Dates in ``dates``
+    ``keep_empty`` also count snapshots without records, and documents of a
+    snapshot that are there more than once. A column ``violates`` is taken as
+    it is, where there is one. Dates in ``dates``
     that nothing landed for appear with zero snapshots. Snapshots of any other
     date do not pass; they are one row for each dataset, without a date but
     with the number of such dates, the first and the last.
@@ -59,7 +61,7 @@ def raw_metrics(
     found = reduce(DataFrame.unionByName, per_dataset)
     dates = list(dates)
     measures = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in
-                ("snapshots", "records", "short_snapshots", "violations")]
+                ("snapshots", "records", "short_snapshots", "violations", "repeated_documents")]
     keys, asked_for = ["dataset", "extracted_date"], F.lit(True)
     if dates:
         missing = _expected(found.sparkSession, "dataset", schemas.DATASETS, "extracted_date", dates)
@@ -79,7 +81,8 @@ def raw_metrics(
             asked_for
             & (F.col("snapshots") > 0)
             & (F.col("short_snapshots") == 0)
-            & (F.col("violations") == 0),
+            & (F.col("violations") == 0)
+            & (F.col("repeated_documents") == 0),
         )
     )
 
@@ -87,9 +90,18 @@ def raw_metrics(
 def _dataset_metrics(records: DataFrame, dataset: str, min_records: int) -> DataFrame:
     is_record = F.col("is_record") if "is_record" in records.columns else F.lit(True)
     instant = F.col("extracted_at").cast("timestamp")
-    per_snapshot = records.groupBy(instant.alias("snapshot")).agg(
+    # One row of each document names it, so few rows are left of this before the shuffle.
+    document = F.col("document") if "document" in records.columns else F.lit(None).cast("long")
+    violates = F.col("violates") if "violates" in records.columns else violation(dataset)
+    per_document = records.groupBy(instant.alias("snapshot"), document.alias("document")).agg(
         F.count_if(is_record).alias("records"),
-        F.count_if(is_record & violation(dataset)).alias("violations"),
+        F.count_if(is_record & violates).alias("violations"),
+        F.count("document" if "document" in records.columns else document).alias("times"),
+    )
+    per_snapshot = per_document.groupBy("snapshot").agg(
+        F.sum("records").alias("records"),
+        F.sum("violations").alias("violations"),
+        F.count_if(F.col("times") > 1).alias("repeated"),
     )
     return per_snapshot.groupBy(
         F.lit(dataset).alias("dataset"), F.to_date("snapshot").alias("extracted_date")
@@ -98,6 +110,7 @@ def _dataset_metrics(records: DataFrame, dataset: str, min_records: int) -> Data
         F.sum("records").alias("records"),
         F.count_if(F.col("records") < min_records).alias("short_snapshots"),
         F.sum("violations").alias("violations"),
+        F.sum("repeated").alias("repeated_documents"),
     )
 
 
@@ -108,18 +121,17 @@ def load_metrics(
     gold: Iterable[schemas.Table] = DAILY_GOLD,
     min_records: dict[str, int] = MIN_RECORDS,
 ) -> DataFrame:
-    """Rows per checked table and date; the partition column is all that is read."""
+    """Rows per checked table and date, from the files' footers; no row is read.
+
+    A row per table and date passes through the driver, as their partitions do.
+    """
     dates = list(dates)
     minimum = {schemas.BRONZE[dataset]: min_records[dataset] for dataset in schemas.DATASETS}
     minimum.update({table: 1 for table in gold})
-    counts = [
-        read_table(spark, database, table, dates)
-        .groupBy(F.lit(table.name).alias("table_name"), F.col(table.date_column).alias("day"))
-        .agg(F.count(F.lit(1)).alias("rows_loaded"))
-        for table in minimum
-    ]
+    counts = [(table.name, day, rows) for table in minimum for day, rows in row_counts(spark, database, table, dates).items()]
+    found = spark.createDataFrame(counts, "table_name string, day date, rows_loaded long")
     expected = _expected(spark, "table_name", [t.name for t in minimum], "day", dates)
-    found = reduce(DataFrame.unionByName, counts).unionByName(expected, allowMissingColumns=True)
+    found = found.unionByName(expected, allowMissingColumns=True)
     needed = F.element_at(
         F.create_map(*(F.lit(part) for t, rows in minimum.items() for part in (t.name, rows))),
         F.col("table_name"),
@@ -131,6 +143,14 @@ def load_metrics(
     )
 
 
+def assert_not_empty(dataset: str, records: int, rows: int) -> None:
+    """A cleaner must get records and leave rows."""
+    if not records:
+        raise QualityError(f"no {dataset.replace('_', ' ')} records to clean")
+    if not rows:
+        raise QualityError(f"cleaned {dataset.replace('_', ' ')} is empty")
+
+
 def assert_valid(metrics: DataFrame) -> None:
     """Raise with every failing row of a metrics frame."""
     failed = metrics.where(~F.col("passed")).drop("passed").collect()

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
-from datetime import date
+from dataclasses import dataclass, replace
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import required
+from tidemark.session import delete_folder, folder_times
 
 # An INSERT OVERWRITE without a partition spec must not empty other dates.
 _OVERWRITE_MODE = ("partitionOverwriteMode", "dynamic")
-_DROPS_PER_STATEMENT = 500
+_SPECS_PER_STATEMENT = 500
+# Table property that names the swap a table takes part in.
+_SWAP = "tidemark.swap"
 
 
 def qualified(database: str, table: str) -> str:
@@ -48,15 +53,21 @@ def read_table(
 
 def load_table(df: DataFrame, database: str, table: schemas.Table, dates: Iterable[date]) -> None:
     """Replace ``dates`` of a warehouse table; a NULL in a NOT NULL column is an error."""
-    checked = df.select(
-        *(
-            F.col(field.name)
-            if field.nullable
-            else required(F.col(field.name), f"{table.name}.{field.name} is NULL").alias(field.name)
-            for field in table.schema
-        )
+    replace_dates(
+        required_columns(df, table), qualified(database, table.name), table.date_column, dates, table.sort_columns
     )
-    replace_dates(checked, qualified(database, table.name), table.date_column, dates, table.sort_columns)
+
+
+def required_columns(df: DataFrame, table: schemas.Table, where: Column | None = None) -> DataFrame:
+    """``df`` where a NULL in a NOT NULL column is an error, in rows that hold ``where``; other columns stay."""
+    checked = {
+        field.name: required(F.col(field.name), f"{table.name}.{field.name} is NULL")
+        for field in table.schema
+        if not field.nullable
+    }
+    if where is not None:
+        checked = {name: F.when(where, column).otherwise(F.col(name)) for name, column in checked.items()}
+    return df.select(*(checked[name].alias(name) if name in checked else F.col(name) for name in df.columns))
 
 
 def replace_dates(
@@ -65,26 +76,169 @@ def replace_dates(
     """Make ``df`` the whole content of the partitions ``dates``, in one job.
 
     Other dates are untouched. A row of another date fails the job before
-    anything is replaced. A requested date without rows ends up empty: dynamic
-    overwrite leaves the partitions it gets no rows for, so the dates written
-    are observed on the way and the remaining ones dropped.
+    anything is replaced. A requested date without rows ends up empty.
+
+    The rows are written to a new folder first. A date is replaced by pointing
+    its partition there, so readers see its old rows or its new ones, and a
+    job that is stopped leaves the old ones.
+    """
+    load = new_load(df.sparkSession, table, date_column, dates)
+    publish(df.sparkSession, write_load(only_dates(df, date_column, load.dates), load, sort_columns))
+
+
+def only_dates(df: DataFrame, date_column: str, dates: Iterable[date]) -> DataFrame:
+    """``df``, failing at a row of any other date."""
+    return df.withColumn(date_column, _expected_date(date_column, _dates(dates)))
+
+
+# --- loads -----------------------------------------------------------------------
+#
+# A load is a folder ``load=<id>/kept=<true or false>/<date column>=<day>`` in the
+# table's own. Partitions point into the folders of their last loads. Rows that are
+# not kept belong to no partition; they are there for the gate alone.
+
+
+@dataclass(frozen=True)
+class Load:
+    """Where new rows of a table are, and which dates they replace."""
+
+    table: str
+    date_column: str
+    dates: tuple[date, ...]
+    folder: str
+    written: tuple[date, ...] = ()
+    rows: int = 0
+    kept: int = 0
+
+
+def new_load(spark: SparkSession, table: str, date_column: str, dates: Iterable[date]) -> Load:
+    return Load(table, date_column, tuple(_dates(dates)), f"{_location(spark, table)}/load={uuid.uuid4().hex}")
+
+
+def write_load(df: DataFrame, load: Load, sort_columns: Sequence[str] = (), extra: Sequence[str] = ()) -> Load:
+    """Write ``df`` to the load's folder, nothing of which is visible yet, and count rows and dates on the way.
+
+    Rows with a false ``kept``, where there is such a column, are set apart.
+    ``extra`` columns stand in the files without being columns of the table.
+    A write that fails leaves nothing behind.
     """
-    dates = _dates(dates)
-    written = Observation()
-    batch = (
-        df.withColumn(date_column, _expected_date(date_column, dates))
-        .transform(_rebalance, date_column)
-        .observe(written, F.collect_set(date_column).alias("dates"))
-        .sortWithinPartitions(date_column, *sort_columns)
-    )
     spark = df.sparkSession
-    batch.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    emptied = sorted(set(dates) - set(written.get["dates"]))
-    for start in range(0, len(emptied), _DROPS_PER_STATEMENT):
-        specs = ", ".join(
-            f"PARTITION (`{date_column}` = DATE'{day}')" for day in emptied[start : start + _DROPS_PER_STATEMENT]
+    kept = F.col("kept") if "kept" in df.columns else F.lit(True)
+    fields = spark.table(load.table).schema
+    seen = Observation()
+    batch = (
+        df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in fields), *extra, kept.alias("kept"))
+        .transform(_rebalance, load.date_column)
+        .observe(
+            seen, F.collect_set(F.when(F.col("kept"), F.col(load.date_column))).alias("dates"),
+            F.count(F.lit(1)).alias("rows"), F.count_if("kept").alias("kept"),
         )
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+        .sortWithinPartitions("kept", load.date_column, *sort_columns)
+    )
+    try:
+        batch.write.partitionBy("kept", load.date_column).parquet(load.folder)
+    except BaseException:
+        delete_folder(spark, load.folder)
+        raise
+    got = seen.get
+    return replace(load, written=tuple(sorted(got["dates"])), rows=got["rows"], kept=got["kept"])
+
+
+def discard(spark: SparkSession, load: Load) -> None:
+    """Remove a load that is not to be published."""
+    delete_folder(spark, load.folder)
+
+
+def publish(spark: SparkSession, load: Load) -> None:
+    """Point the partitions of the load's dates to its rows, one date after the other; catalog entries only."""
+    known = set(partition_dates(spark, load.table, load.date_column))
+    place = lambda day: f"{load.folder}/kept=true/{load.date_column}={day}"
+    spec = lambda day: f"PARTITION (`{load.date_column}` = DATE'{day}')"
+    for day in load.written:
+        if day in known:
+            spark.sql(f"ALTER TABLE {load.table} {spec(day)} SET LOCATION '{place(day)}'")
+    new = [f"{spec(day)} LOCATION '{place(day)}'" for day in load.written if day not in known]
+    emptied = [spec(day) for day in load.dates if day in known.difference(load.written)]
+    for start in range(0, len(new), _SPECS_PER_STATEMENT):
+        spark.sql(f"ALTER TABLE {load.table} ADD IF NOT EXISTS {' '.join(new[start : start + _SPECS_PER_STATEMENT])}")
+    for start in range(0, len(emptied), _SPECS_PER_STATEMENT):
+        spark.sql(f"ALTER TABLE {load.table} DROP IF EXISTS {', '.join(emptied[start : start + _SPECS_PER_STATEMENT])}")
+    spark.catalog.refreshTable(load.table)
+
+
+def drop_stale_loads(spark: SparkSession, table: str, keep: timedelta = timedelta(days=1)) -> list[str]:
+    """Delete load folders that no partition points into and that are older than ``keep``; returns their names.
+
+    Replaced rows stay until then, so that queries which began before can end.
+    """
+    root = _location(spark, table)
+    used = {part for file in spark.table(table).inputFiles() for part in file.split("/") if part.startswith("load=")}
+    before = datetime.now(timezone.utc) - keep
+    stale = [
+        name
+        for name, changed in folder_times(spark, root)
+        if name.startswith("load=") and name not in used and changed < before
+    ]
+    for name in stale:
+        delete_folder(spark, f"{root}/{name}")
+    return stale
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return described.first().data_type.rstrip("/")
+
+
+# --- metadata --------------------------------------------------------------------
+
+
+def partition_dates(spark: SparkSession, table: str, date_column: str) -> list[date]:
+    """Dates that have a partition, from the catalog; a load leaves none without rows."""
+    day = F.to_date(F.regexp_extract("partition", rf"(?:^|/){date_column}=([^/]+)", 1))
+    return [row.day for row in spark.sql(f"SHOW PARTITIONS {table}").select(day.alias("day")).orderBy("day").collect()]
+
+
+def latest_date(spark: SparkSession, database: str, table: schemas.Table) -> date | None:
+    """The latest date of a table, without reading it."""
+    dates = partition_dates(spark, qualified(database, table.name), table.date_column)
+    return dates[-1] if dates else None
+
+
+def row_counts(
+    spark: SparkSession, database: str, table: schemas.Table, dates: Iterable[date] | None = None
+) -> dict[date, int]:
+    """Rows per date from the footers of the files; no row is read. Dates without a partition are left out."""
+    counts: dict[date, int] = {}
+    for frame in _footer_counts(spark, database, table, dates):
+        for row in frame.collect():
+            counts[row.day] = counts.get(row.day, 0) + row.rows
+    return counts
+
+
+def _footer_counts(
+    spark: SparkSession, database: str, table: schemas.Table, dates: Iterable[date] | None
+) -> list[DataFrame]:
+    """One aggregation per layout of partition folders, pushed down to the file footers."""
+    root = _location(spark, qualified(database, table.name))
+    folders: dict[bool, set[str]] = {}
+    for file in read_table(spark, database, table, dates).inputFiles():
+        folder = file.rsplit("/", 1)[0]
+        folders.setdefault("/load=" in folder, set()).add(folder)
+    own = spark.newSession()
+    # The newer reader takes counts by partition column from footers.
+    own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return [
+        own.read.option("basePath", root)
+        .parquet(*sorted(paths))
+        # By all columns of the folders, without which nothing is pushed down.
+        .groupBy(F.col(table.date_column).alias("day"), *(["load", "kept"] if is_load else []))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        for is_load, paths in folders.items()
+    ]
+
+
+# --- repartitioning ----------------------------------------------------------------
 
 
 def is_partitioned(spark: SparkSession, table: str) -> bool:
@@ -119,38 +273,98 @@ def repartition_by_date(
         .saveAsTable(copy)
     )
 
-    before, after = spark.table(current).count(), spark.table(copy).count()
-    if before != after:
-        raise RuntimeError(f"{table}: {before} rows but {after} in the copy, which is kept as {copy}")
+    _require_equal(spark.table(current), spark.table(copy), date_column, f"{table} and its copy {copy}")
 
+    # Both halves of the swap carry its name until it is over.
+    swap = uuid.uuid4().hex
+    for side in (copy, current):
+        spark.sql(f"ALTER TABLE {side} SET TBLPROPERTIES ('{_SWAP}' = '{swap}')")
     spark.sql(f"DROP TABLE IF EXISTS {backup}")
     spark.sql(f"ALTER TABLE {current} RENAME TO {backup}")
     try:
         spark.sql(f"ALTER TABLE {copy} RENAME TO {current}")
     except Exception:
         spark.sql(f"ALTER TABLE {backup} RENAME TO {current}")
+        _end_swap(spark, current)
         raise
     _find_partitions(spark, current)
+    _end_swap(spark, backup, current)
     return True
 
 
 def finish_swap(spark: SparkSession, database: str, table: str) -> None:
-    """Finish a swap that broke off between its two renames.
+    """Finish a swap that broke off between or behind its two renames.
 
-    Then the table is absent and its rows are in the backup. The copy takes its
-    place if it has as many rows, else the backup goes back.
+    A backup that carries the name of a swap belongs to one that is not over.
+    If the table is absent, the copy of that swap, which was compared before,
+    takes its place, else the backup goes back. A backup without a name is an
+    old one; a table that was dropped later stays dropped.
     """
     current = qualified(database, table)
     copy = qualified(database, f"{table}_new")
     backup = qualified(database, f"{table}_pre_partition_backup")
     exists = spark.catalog.tableExists
-    if exists(current) or not exists(backup):
+    swap = _swap_of(spark, backup) if exists(backup) else None
+    if swap is None:
         return
-    if exists(copy) and spark.table(copy).count() == spark.table(backup).count():
+    if exists(current):
+        # Broken off behind the second rename, unless another table has come since.
+        ended = [backup]
+        if _swap_of(spark, current) == swap:
+            _find_partitions(spark, current)
+            ended.append(current)
+        _end_swap(spark, *ended)
+    elif exists(copy) and _swap_of(spark, copy) == swap:
         spark.sql(f"ALTER TABLE {copy} RENAME TO {current}")
         _find_partitions(spark, current)
+        _end_swap(spark, backup, current)
     else:
         spark.sql(f"ALTER TABLE {backup} RENAME TO {current}")
+        _end_swap(spark, current)
+
+
+def _swap_of(spark: SparkSession, table: str) -> str | None:
+    properties = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return properties.get(_SWAP)
+
+
+def _end_swap(spark: SparkSession, *sides: str) -> None:
+    for side in sides:
+        spark.sql(f"ALTER TABLE {side} UNSET TBLPROPERTIES IF EXISTS ('{_SWAP}')")
+
+
+def differing_dates(one: DataFrame, other: DataFrame, date_column: str) -> DataFrame:
+    """Dates on which two tables differ, with the rows of both: a sum and a parity of row hashes, in any order of rows."""
+    columns = one.columns
+    row = F.xxhash64(*(F.col(c) for c in columns))
+    sides = [
+        df.select(F.col(date_column).alias("day"), row.alias("h"), F.lit(sign).alias("sign"))
+        for df, sign in ((one, 1), (other.select(*columns), -1))
+    ]
+    return (
+        sides[0]
+        .unionAll(sides[1])
+        .groupBy("day")
+        .agg(
+            F.count_if(F.col("sign") > 0).alias("before"), F.count_if(F.col("sign") < 0).alias("after"),
+            F.sum(F.col("h").cast("decimal(20,0)") * F.col("sign")).alias("balance"), F.bit_xor("h").alias("parity"),
+        )
+        .where("before <> after OR balance <> 0 OR parity <> 0")
+        .select("day", "before", "after")
+    )
+
+
+def _require_equal(one: DataFrame, other: DataFrame, date_column: str, names: str) -> None:
+    found = (
+        differing_dates(one, other, date_column)
+        .agg(F.count("*").alias("dates"), F.min("day").alias("first"), F.max("day").alias("last"))
+        .first()
+    )
+    if found.dates:
+        raise RuntimeError(
+            f"{names} differ on {found.dates} dates from {found.first} to {found.last}: "
+            f"{one.count()} rows but {other.count()} in the copy, which is kept"
+        )
 
 
 def _find_partitions(spark: SparkSession, table: str) -> None:

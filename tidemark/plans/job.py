@@ -13,9 +13,12 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import date, timedelta
 from functools import partial
+from typing import TypeVar
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType, TimestampType
 
 from tidemark import schemas
 from tidemark.operators import gold, quality, tables
@@ -23,6 +26,14 @@ from tidemark.operators.clean import clean_all
 from tidemark.session import build_session, delete_folder, require_settings, scratch_folder
 from tidemark.sources import read_snapshots
 
+Result = TypeVar("Result")
+
+# What the gate needs of a record and its table lacks: nearly constant columns, which take no room in the files.
+GATE = StructType(
+    [StructField("is_record", BooleanType()), StructField("document", LongType()), StructField("violates", BooleanType())]
+)
+GATE_READ = StructType([StructField("extracted_at", TimestampType()), *GATE.fields])
+
 
 def run(
     spark: SparkSession,
@@ -33,13 +44,29 @@ def run(
     min_records: dict[str, int] = quality.MIN_RECORDS,
     checked_gold: Iterable[schemas.Table] = quality.DAILY_GOLD,
     scratch: str | None = None,
+    staged: bool = False,
 ) -> None:
-    """Gate, clean and load the landed documents of ``dates``, then rebuild their gold."""
+    """Gate, clean and load the landed documents of ``dates``, then rebuild their gold.
+
+    Bronze is written once, to folders that no partition points to yet, and
+    the gate reads its flags from those files; what passes is published. With
+    ``staged`` the flat records are written to ``scratch`` first, gated there
+    and read again to be loaded: twice the bytes, for a gate before any
+    cleaning.
+    """
     require_settings(spark)
     dates = sorted(set(dates))
+    if staged:
+        _load_staged(spark, landing, database, dates, location, min_records, scratch)
+    else:
+        _load_once(spark, landing, database, dates, location, min_records)
+    build_gold(spark, database, dates)
+    quality.assert_valid(quality.load_metrics(spark, database, dates, checked_gold, min_records))
+
+
+def _load_staged(spark, landing, database, dates, location, min_records, scratch) -> None:
     folder = scratch_folder(spark, scratch, location)
     try:
-        # Flat records are written once, so the JSON is parsed once for gate and load.
         records = stage(read_snapshots(spark, landing, dates, keep_empty=True), folder)
         quality.assert_valid(quality.raw_metrics(records, dates, min_records))
         tables.ensure_tables(spark, database, location)
@@ -47,8 +74,21 @@ def run(
         load_bronze(spark, cleaned, database, dates)
     finally:
         delete_folder(spark, folder)
-    build_gold(spark, database, dates)
-    quality.assert_valid(quality.load_metrics(spark, database, dates, checked_gold, min_records))
+
+
+def _load_once(spark, landing, database, dates, location, min_records) -> None:
+    tables.ensure_tables(spark, database, location)
+    records = read_snapshots(spark, landing, dates, keep_empty=True)
+    flagged = {name: frame.withColumn("violates", quality.violation(name)) for name, frame in records.items()}
+    asked_for = F.coalesce(F.col("extracted_date").isin(*dates), F.lit(False))
+    kept = F.col("is_record") & ~F.col("violates") & asked_for
+    cleaned = {name: frame.withColumn("kept", kept) for name, frame in clean_all(flagged, list(GATE.names)).items()}
+
+    def check(loads: dict[str, tables.Load]) -> None:
+        found = {name: spark.read.schema(GATE_READ).parquet(load.folder) for name, load in loads.items()}
+        quality.assert_valid(quality.raw_metrics(found, dates, min_records))
+
+    _load_checked(spark, cleaned, database, dates, check)
 
 
 def stage(frames: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
@@ -62,12 +102,42 @@ def stage(frames: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
 def load_bronze(
     spark: SparkSession, cleaned: dict[str, DataFrame], database: str, dates: Iterable[date]
 ) -> None:
-    dates = list(dates)
-    loads = (
-        partial(tables.load_table, cleaned[dataset], database, table, dates)
+    """Replace ``dates`` of the three bronze tables; nothing changes unless every cleaner has left rows."""
+    _load_checked(spark, cleaned, database, list(dates))
+
+
+def _load_checked(
+    spark: SparkSession,
+    cleaned: dict[str, DataFrame],
+    database: str,
+    dates: list[date],
+    check: Callable[[dict[str, tables.Load]], None] = lambda loads: None,
+) -> None:
+    """Write all datasets, count them on the way, ``check`` what was written, and publish it or remove it."""
+    new = {
+        dataset: tables.new_load(spark, tables.qualified(database, table.name), table.date_column, dates)
         for dataset, table in schemas.BRONZE.items()
-    )
-    _side_by_side(spark, loads)
+    }
+
+    def write(dataset: str) -> tables.Load:
+        table, df = schemas.BRONZE[dataset], cleaned[dataset]
+        extra = [name for name in GATE.names if name in df.columns]
+        if "kept" in df.columns:
+            df = tables.required_columns(df, table, F.col("kept"))
+        else:
+            df = tables.required_columns(tables.only_dates(df, table.date_column, dates), table)
+        return tables.write_load(df, new[dataset], table.sort_columns, extra)
+
+    try:
+        written = dict(zip(new, _side_by_side(spark, [partial(write, dataset) for dataset in new]), strict=True))
+        check(written)
+        for dataset, load in written.items():
+            quality.assert_not_empty(dataset, load.rows, load.kept)
+    except BaseException:
+        for load in new.values():
+            tables.discard(spark, load)
+        raise
+    _side_by_side(spark, [partial(tables.publish, spark, load) for load in written.values()])
 
 
 def build_gold(
@@ -121,14 +191,13 @@ def _kept(df: DataFrame) -> Iterator[DataFrame]:
         kept.unpersist()
 
 
-def _side_by_side(spark: SparkSession, actions: Iterable[Callable[[], None]]) -> None:
+def _side_by_side(spark: SparkSession, actions: Iterable[Callable[[], Result]]) -> list[Result]:
     """Submit independent jobs together, so small ones fill the gaps of large ones."""
     actions = list(actions)
     with_session = inheritable_thread_target(spark)
     with ThreadPoolExecutor(len(actions)) as pool:
         running = [pool.submit(with_session(action)) for action in actions]
-    for job in running:
-        job.result()
+    return [job.result() for job in running]
 
 
 def rebuild_gold(
@@ -146,8 +215,9 @@ def rebuild_gold(
 def _parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument(
-        "command", nargs="?", choices=("load", "gold", "repartition"), default="load",
-        help="load documents (the default), rebuild gold from bronze, or partition old tables by date",
+        "command", nargs="?", choices=("load", "gold", "repartition", "tidy"), default="load",
+        help="load documents (the default), rebuild gold from bronze, partition old tables by date, "
+        "or delete the files of rows that were replaced a day ago or earlier",
     )
     parser.add_argument("--landing", help="folder of landed documents, to load")
     parser.add_argument("--database", required=True, help="database of the bronze and gold tables")
@@ -159,7 +229,7 @@ def _parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     options = parser.parse_args(arguments)
     if options.command == "load" and not options.landing:
         parser.error("load needs --landing")
-    if options.command != "repartition" and not options.first:
+    if options.command in ("load", "gold") and not options.first:
         parser.error(f"{options.command} needs --first")
     return options
 
@@ -170,6 +240,10 @@ def main(arguments: list[str] | None = None) -> None:
     if options.command == "repartition":
         tables.repartition_all(spark, options.database)
         return
+    if options.command == "tidy":
+        for table in schemas.TABLES:
+            tables.drop_stale_loads(spark, tables.qualified(options.database, table))
+        return
     last = options.last or options.first
     dates = [options.first + timedelta(days=n) for n in range((last - options.first).days + 1)]
     checked = quality.DAILY_GOLD + (quality.HOURLY_GOLD if options.check_hourly else ())

@@ -10,6 +10,7 @@ from pyspark.sql.types import (
     DateType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -28,7 +29,9 @@ def _struct(*fields: tuple, nullable: bool = True) -> StructType:
 
 # One landed document: when it was fetched, and its JSON text as received.
 ENVELOPE = _struct(("extracted_at", StringType()), ("payload", StringType()))
-LANDED = _struct(("extracted_at", StringType()), ("payload", StringType()), ("date", DateType()))
+LANDED = _struct(
+    ("extracted_at", StringType()), ("page", LongType()), ("payload", StringType()), ("date", DateType())
+)
 
 # Only the members that reach a table are listed, so nothing else is parsed.
 # Numbers that the source may quote are read as text and cast afterwards.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
@@ -58,3 +59,13 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = target.getFileSystem(spark._jsc.hadoopConfiguration())
     return [entry.getPath().getName() for entry in system.listStatus(target)] if system.exists(target) else []
+
+
+def folder_times(spark: SparkSession, path: str) -> list[tuple[str, datetime]]:
+    """Names in a folder and when they were changed."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    entries = system.listStatus(target) if system.exists(target) else []
+    return [
+        (e.getPath().getName(), datetime.fromtimestamp(e.getModificationTime() / 1000, timezone.utc)) for e in entries
+    ]

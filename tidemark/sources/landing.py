@@ -3,9 +3,14 @@
 Layout: ``<landing>/<dataset>/date=YYYY-MM-DD/*.json``, one envelope
 ``{"extracted_at": ..., "payload": "<document as received>"}`` per line.
 
+A snapshot that is landed in several envelopes numbers them by ``page``; without
+that member an envelope is page 0.
+
 Each flattener takes envelopes and returns one row per record. With
 ``keep_empty`` a document without records still yields one row, marked by a
-false ``is_record``, so that the quality gates can count empty snapshots.
+false ``is_record``, so that the quality gates can count empty snapshots; and
+the first row of each document carries its page as ``document``, so that they
+can tell a document that was landed twice.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ from tidemark.functions import integer_property, required
 from tidemark.session import folder_names, require_settings
 
 _FAIL = {"mode": "FAILFAST"}
+_ENVELOPE = ("extracted_at", "page", "payload")
 # How a document of each kind begins. The parser alone would take an object for an array of one.
 _ARRAY, _OBJECT = r"^\s*\[", r"^\s*\{"
 
@@ -33,13 +39,13 @@ def read_documents(
     root = f"{landing.rstrip('/')}/{dataset}"
     reader = spark.read.schema(schemas.LANDED).options(**_FAIL)
     if dates is None:
-        return reader.json(root).select("extracted_at", "payload")
+        return reader.json(root).select(*_ENVELOPE)
     wanted = {f"date={day}" for day in dates}
     present = sorted(wanted.intersection(folder_names(spark, root)))
     if not present:
-        return spark.createDataFrame([], schemas.LANDED).select("extracted_at", "payload")
+        return spark.createDataFrame([], schemas.LANDED).select(*_ENVELOPE)
     envelopes = reader.option("basePath", root).json([f"{root}/{name}" for name in present])
-    return envelopes.select("extracted_at", "payload")
+    return envelopes.select(*_ENVELOPE)
 
 
 def read_snapshots(
@@ -61,6 +67,10 @@ def flatten_line_status(documents: DataFrame, keep_empty: bool = False) -> DataF
         "line",
         F.posexplode_outer("line.lineStatuses").alias("status_pos", "status"),
     )
+    if keep_empty:
+        # The first status of a line that is the first of its document.
+        first = F.coalesce(F.col("status_pos"), F.lit(0)) == 0
+        statuses = statuses.withColumn("document", F.when(first, F.col("document")))
     status = F.col("status")
     severity = F.coalesce(status["statusSeverity"], F.lit(schemas.GOOD_SEVERITY))
     return statuses.select(
@@ -131,16 +141,20 @@ def _explode(documents: DataFrame, elements: Column, name: str, keep_empty: bool
     """One row per array element; a null element is an error, not a record."""
     require_settings(documents.sparkSession)
     if keep_empty:
-        rows = documents.select("extracted_at", F.posexplode_outer(elements).alias("pos", name))
+        page = F.coalesce("page", F.lit(0)).cast("long") if "page" in documents.columns else F.lit(0).cast("long")
+        rows = documents.select("extracted_at", page.alias("page"), F.posexplode_outer(elements).alias("pos", name))
         is_record = F.col("pos").isNotNull()
         element = F.when(is_record, required(F.col(name), f"null {name} in document"))
-        return rows.select("extracted_at", is_record.alias("is_record"), element.alias(name))
+        document = F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("page"))
+        return rows.select(
+            "extracted_at", is_record.alias("is_record"), document.alias("document"), element.alias(name)
+        )
     rows = documents.select("extracted_at", F.explode(elements).alias(name))
     return rows.select("extracted_at", required(F.col(name), f"null {name} in document").alias(name))
 
 
 def _kept(keep_empty: bool) -> list[str]:
-    return ["extracted_at", "is_record"] if keep_empty else ["extracted_at"]
+    return ["extracted_at", "is_record", "document"] if keep_empty else ["extracted_at"]
 
 
 def _text(path: str, default: str = "") -> Column:
