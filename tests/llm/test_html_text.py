@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import time
 from collections import Counter
 
 import numpy as np
@@ -45,7 +46,8 @@ def test_marginals_equal_enumeration(model):
         for node, label in enumerate(labels):
             total += sum(model.own.get(f, (0.0, 0.0))[label] for f in H.features(tree, node))
             parent = tree.parent[node]
-            total += model.prior[label] if parent < 0 else model.pair.get(tree.tag[node], model.pair[None])[labels[parent]][label]
+            names = [n for n in H.relation(tree, node) if n in model.pair] + [None]
+            total += model.prior[label] if parent < 0 else model.pair[names[0]][labels[parent]][label]
         weights[labels] = math.exp(total)
     z = sum(weights.values())
     exact = [sum(w for labels, w in weights.items() if labels[node]) / z for node in range(n)]
@@ -82,3 +84,61 @@ def test_formulas_and_fallback_texts_are_read():
     for part in ("The sum a+b is known", "A text in place of the object", "A text for readers without scripts"):
         assert part in found
     assert "no text" not in found and "Send" not in found
+
+
+WORDS = "Words of the article that are long enough to be read by anyone who likes to read them."
+
+
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<button>Menu", "<form><button>Menu</form>", "<datalist><option>a<option>b</datalist>", "<select><option>a<option>b</select>",
+        "<svg><title>Icon</title><style/></svg>", "<select><option>a", "<svg><title>Icon</svg>", "<template><p>later</p></template>",
+    ],
+)
+def test_articles_behind_unclosed_elements_are_found(model, before):
+    page = f"<html><head><title>T</title><body>{before}<article><h1>Title</h1><p>{WORDS}</p></article><p><button>x</button><option>y</option></body>"
+    assert H.extract([page], model) == [f"Title\n\n{WORDS}"]
+
+
+def test_head_without_an_end_and_its_end_in_a_text(model):
+    page = f"<html><head><title>T</title><meta charset=x><article><h1>Title</h1><p>{WORDS}</p><pre>&lt;head> </head></pre></article>"
+    assert H.extract([page], model)[0].startswith(f"Title\n\n{WORDS}")
+    assert H.extract([f"<head><title>T</head><article><h1>Title</h1><p>{WORDS}</p></article>"], model)[0].endswith(WORDS)
+
+
+def test_comments_that_are_articles_and_forms_are_left_out(model):
+    page = (
+        f"<body><article><h1>Title</h1><p>{WORDS}</p><form><p>Write to us, we would like to hear from all of you.</p>"
+        f"<input name=x></form><p>{WORDS}</p></article><div class='comment-list'><ol><li><article><p>{WORDS} I agree.</p></article></li>"
+        f"<li><article><h4>Anna</h4><p>{WORDS} So do I.</p></article></li></ol></div></body>"
+    )
+    assert H.extract([page], model) == [f"Title\n\n{WORDS}\n\n{WORDS}"]
+    assert H.extract([f"<body><form><article><h1>Title</h1><p>{WORDS}</p></article></form></body>"], model) == [f"Title\n\n{WORDS}"]
+
+
+@pytest.mark.parametrize(
+    "page", ["<div>" * 200_000, "<div>" * 100_000 + "</p>" * 100_000, "<option>" * 120_000, "<title>" * 150_000, "<p><div><b-c>" * 80_000, "<li>" * 250_000]
+)
+def test_a_megabyte_of_tags_takes_seconds(model, page):
+    start = time.perf_counter()
+    H.extract([page + f"<article><p>{WORDS}</p></article>"], model)
+    assert time.perf_counter() - start < 12
+
+
+def test_deep_texts_are_read(model):
+    page = "<article>" + "<div>" * 1000 + f"<p>{WORDS}</p>" + "</div>" * 1000 + f"<p>{WORDS}</p></article>"
+    tree = H.parse(page)
+    assert [t for t in tree.text if t] == [WORDS, WORDS] and len(tree.parent) == 1006
+
+
+def test_one_id_on_many_rows_is_one_sample(spark):
+    pages = spark.range(3000).selectExpr("1L AS page_id", f"concat('<article><p>', id, ' {WORDS}</p></article>') AS html")
+    learned = Counter()
+    real = H.model
+    try:
+        H.model = lambda total: learned.update(total) or real(total)
+        H.fit(pages.union(pages), limit=10)
+    finally:
+        H.model = real
+    assert 10 <= learned["label", True] <= 10 * 5 + 200

@@ -35,9 +35,14 @@ from pyspark.sql.types import LongType, StringType, StructField
 
 from tidemark.llm.common import with_block_columns
 
-# Elements that never hold text to be read, elements without an
-# end, elements that stand within a line, and those that a new block ends.
-SILENT = "head script style template select textarea button option title"
+# Elements whose content is no markup, elements whose text is
+# never read, of these the ones that hold no blocks, elements of a head,
+# elements without an end, elements that stand within a line, and those that a
+# new block ends.
+RAW = "script style textarea title"
+SILENT = "head template select datalist optgroup option button title"
+SILENT_INLINE = "select datalist optgroup option button"
+OF_HEAD = "base link meta noscript script style template title"
 VOID = "area base br col embed hr img input link meta param source track wbr"
 INLINE = (
     "a abbr b bdi bdo big br cite code data dfn em font i img ins del kbd label mark q rp rt ruby s samp small span "
@@ -49,7 +54,12 @@ ENDS_PARAGRAPH = (
     "pre section table ul"
 )
 # Elements that a sibling of their own kind ends.
-SIBLINGS = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "p": "p"}
+SIBLINGS = {
+    "li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "p": "p",
+    "option": "option", "optgroup": "option optgroup", "button": "button", "select": "select",
+}
+# Elements nested deeper hang at this depth, as in browsers; their text is read all the same.
+DEEPEST = 512
 
 # Words of class, id and role, by what they say about an element.
 KINDS = {
@@ -63,7 +73,11 @@ KINDS = {
 }
 _KIND_OF = {word: kind for kind, words in KINDS.items() for word in words.split()}
 
-_SILENT, _VOID, _INLINE, _ENDS_P = (set(x.split()) for x in (SILENT, VOID, INLINE, ENDS_PARAGRAPH))
+_RAW, _SILENT, _SILENT_INLINE, _OF_HEAD, _VOID, _INLINE, _ENDS_P = (
+    set(x.split()) for x in (RAW, SILENT, SILENT_INLINE, OF_HEAD, VOID, INLINE, ENDS_PARAGRAPH)
+)
+_WITHIN_P = {"article", "aside", "div", "section", "td", "li", "blockquote", "main"}
+_WITHIN_SIBLING = {"ul", "ol", "dl", "table", "article", "div", "section", "select", "datalist"}
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)(?:>|\Z)",
@@ -72,11 +86,18 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"(class|id|role|data-content)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 LEAF = "#text"
+# Potentials of a node that is known not to be content.
+NEVER = (0.0, -1000.0)
 
 
 @dataclass
 class Tree:
-    """Nodes in page order. ``parent`` of the root is -1."""
+    """Nodes in page order. ``parent`` of the root is -1.
+
+    ``around``: the kind of the innermost element around a node that has one.
+    ``hidden``: 2 in elements that are never read, 1 in forms, but not in an
+    article that a form is put around.
+    """
 
     parent: list[int] = field(default_factory=list)
     tag: list[str] = field(default_factory=list)
@@ -84,6 +105,8 @@ class Tree:
     marked: list[bool] = field(default_factory=list)
     text: list[str] = field(default_factory=list)
     links: list[int] = field(default_factory=list)
+    around: list[str] = field(default_factory=list)
+    hidden: list[int] = field(default_factory=list)
 
     def add(self, parent: int, tag: str, kind: str = "none", marked: bool = False, text: str = "", links: int = 0) -> int:
         for row, value in zip(
@@ -92,6 +115,17 @@ class Tree:
             strict=True,
         ):
             row.append(value)
+        inside = parent >= 0
+        own = self.kind[parent] if inside else "none"
+        self.around.append(own if own != "none" else self.around[parent] if inside else "none")
+        above = self.hidden[parent] if inside else 0
+        if tag in _SILENT or above == 2:
+            above = 2
+        elif tag == "form":
+            above = 1
+        elif tag in ("article", "main"):
+            above = 0
+        self.hidden.append(above)
         return len(self.parent) - 1
 
 
@@ -110,8 +144,13 @@ def parse(page: str) -> Tree:
     tree = Tree()
     root = tree.add(-1, "html")
     open_: list[tuple[str, int]] = []  # block elements, with their nodes
+    places: dict[str, list[int]] = {}  # where elements of each tag stand in it
     pieces: list[str] = []
-    linked, in_link, at = 0, 0, 0
+    linked, in_link, in_svg, at = 0, 0, 0, 0
+    endless: set[str] = set()  # raw elements that have no further end tag
+
+    def above() -> int:
+        return open_[min(len(open_), DEEPEST) - 1][1] if open_ else root
 
     def end_run() -> None:
         nonlocal linked
@@ -119,17 +158,25 @@ def parse(page: str) -> Tree:
             text = " ".join(entities.unescape("".join(pieces)).split())
             pieces.clear()
             if text:
-                tree.add(open_[-1][1] if open_ else root, LEAF, text=text, links=min(linked, len(text)))
+                tree.add(above(), LEAF, text=text, links=min(linked, len(text)))
         linked = 0
 
     def close(tags: set[str], within: set[str] = frozenset()) -> None:
         """Ends the innermost open element of ``tags``, and what is in it, unless ``within`` is met first."""
-        for i in range(len(open_) - 1, -1, -1):
-            if open_[i][0] in tags:
-                del open_[i:]
-                return
-            if open_[i][0] in within:
-                return
+        last = lambda names: max((places[n][-1] for n in names if places.get(n)), default=-1)
+        i = last(tags)
+        if i < 0 or last(within) > i:
+            return
+        while len(open_) > i:
+            places[open_.pop()[0]].pop()
+
+    def skip_raw(name: str, at: int) -> int:
+        """Behind the end tag of a raw element; one that never ends hides nothing, unless it is a script or a style."""
+        after = None if name in endless else re.compile(rf"</{name}\s*>", re.I).search(page, at)
+        if after:
+            return after.end()
+        endless.add(name)
+        return len(page) if name in ("script", "style") else at
 
     while at < len(page):
         found = _TOKEN.search(page, at)
@@ -140,21 +187,31 @@ def parse(page: str) -> Tree:
         if not found:
             break
         at = found.end()
-        closing, name, raw, _ = found.groups()
+        closing, name, raw, slash = found.groups()
         if name is None:
             continue
         name = name.lower()
-        if name in _SILENT:
+        if not closing and places.get("head") and name not in _OF_HEAD:
+            # A head without an end tag ends where anything else begins.
+            end_run()
+            close({"head"})
+        if name in _RAW and not in_svg:
             if not closing:
-                end_run() if name not in _INLINE else None
-                after = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-                # An element that never ends hides nothing but itself, unless it is raw text.
-                at = after.end() if after else (len(page) if name in ("script", "style") else at)
+                end_run()
+                at = skip_raw(name, at)
+        elif name in ("script", "style", "textarea"):
+            if not closing and not slash:
+                at = skip_raw(name, at)
         elif name in _INLINE:
             if name == "a":
                 in_link = 0 if closing else 1
             elif name == "br":
                 pieces.append(" ")
+            elif name == "svg":
+                in_svg = 0 if closing or slash else 1
+                if closing and places.get("title"):
+                    end_run()
+                    close({"title"})
         else:
             end_run()
             in_link = 0
@@ -162,12 +219,16 @@ def parse(page: str) -> Tree:
                 close({name})
             else:
                 if name in _ENDS_P:
-                    close({"p"}, {"article", "aside", "div", "section", "td", "li", "blockquote", "main"})
+                    # Buttons and lists of choices hold no blocks, so one that is still open was not ended.
+                    while open_ and (open_[-1][0] in _SILENT_INLINE or open_[-1][0] == "title"):
+                        close({open_[-1][0]})
+                    close({"p"}, _WITHIN_P)
                 if name in SIBLINGS:
-                    close(set(SIBLINGS[name].split()), {"ul", "ol", "dl", "table", "article", "div", "section"})
+                    close(set(SIBLINGS[name].split()), _WITHIN_SIBLING)
                 kind, marked = _attributes(raw)
-                node = tree.add(open_[-1][1] if open_ else root, name, kind, marked)
+                node = tree.add(above(), name, kind, marked)
                 if name not in _VOID and not raw.endswith("/"):
+                    places.setdefault(name, []).append(len(open_))
                     open_.append((name, node))
     end_run()
     return tree
@@ -183,6 +244,14 @@ def features(tree: Tree, node: int) -> tuple[str, ...]:
 # Parts of an article that are not its text, for labels of unmarked pages.
 _FOREIGN_TAGS = {"nav", "header", "footer", "aside", "form", "menu"}
 _FOREIGN_KINDS = {"advert", "comment", "menu", "side", "frame", "notice"}
+# Kinds within which an article is none of the page: a comment, an offer, an entry of a list.
+_CLOSED_KINDS = {"advert", "comment", "menu", "notice"}
+
+
+def relation(tree: Tree, node: int) -> tuple[str, str | None]:
+    """What the potential between a node and its parent goes by: the tag, and within a closed kind that kind too."""
+    tag, around = tree.tag[node], tree.around[node]
+    return (f"{tag} in {around}", f"any in {around}") if around in _CLOSED_KINDS else (tag, None)
 
 
 def labels(tree: Tree) -> list[bool] | None:
@@ -191,10 +260,12 @@ def labels(tree: Tree) -> list[bool] | None:
     if not marked and not {"article", "main"} & set(tree.tag):
         return None
     out: list[bool] = []
-    for parent, tag, kind, mark in zip(tree.parent, tree.tag, tree.kind, tree.marked, strict=True):
-        if marked:
+    for node, (parent, tag, kind, mark) in enumerate(zip(tree.parent, tree.tag, tree.kind, tree.marked, strict=True)):
+        if tree.hidden[node]:
+            out.append(False)
+        elif marked:
             out.append(mark or (parent >= 0 and out[parent] and tag not in _FOREIGN_TAGS and kind not in _FOREIGN_KINDS))
-        elif tag in _FOREIGN_TAGS or kind in _FOREIGN_KINDS:
+        elif tag in _FOREIGN_TAGS or kind in _FOREIGN_KINDS or tree.around[node] in _CLOSED_KINDS:
             out.append(False)
         else:
             out.append(tag in ("article", "main") or (parent >= 0 and out[parent]))
@@ -213,7 +284,8 @@ def counts(pages: list[str]) -> Counter:
             total["label", label] += 1
             if tree.parent[node] >= 0:
                 total["pair", known[tree.parent[node]], label] += 1
-                total["tag", tree.tag[node], known[tree.parent[node]], label] += 1
+                for name in filter(None, relation(tree, node)):
+                    total["tag", name, known[tree.parent[node]], label] += 1
             for f in features(tree, node):
                 total["feature", f, label] += 1
     return total
@@ -233,6 +305,9 @@ EXAMPLES = [
     '<body><article data-content="1"><header><h1>Title</h1></header><section><p>Body text.</p><p>And more.</p></section>'
     '<aside class="advert"><p>Offer</p></aside><div class="share"><a href=z>Share</a></div></article>'
     '<div id="comments"><p>First!</p><ol><li>Nice.</li></ol></div><div class="newsletter"><p>Subscribe</p></div></body>',
+    '<body><article data-content="1"><h1>Title</h1><p>Body text of it.</p><form><p>Your mail</p><button>Send</button></form>'
+    '<p>The end of it.</p></article><div class="comment-list"><article><p>I read it twice.</p></article>'
+    "<article><h4>Reply</h4><p>So did I.</p></article></div></body>",
 ]
 
 
@@ -295,8 +370,13 @@ def marginals(trees: list[Tree], potentials: Model) -> np.ndarray:
     own[parent < 0] += potentials.prior
     tables = np.array(list(potentials.pair.values()))  # tag, parent, child
     number = {tag: i for i, tag in enumerate(potentials.pair)}
-    pair = tables[[number.get(tag, number[None]) for t in trees for tag in t.tag]]
-    levels = [np.flatnonzero(depth == d) for d in range(int(depth.max(initial=0)) + 1)]
+    known = lambda names: next((number[n] for n in names if n in number), number[None])
+    pair = tables[[known(relation(t, node)) for t in trees for node in range(len(t.parent))]]
+    hidden = np.concatenate([np.array(t.hidden) > 0 for t in trees])
+    # They say nothing about the elements they stand in.
+    own[hidden], pair[hidden] = NEVER, 0.0
+    order = np.argsort(depth, kind="stable")
+    levels = np.split(order, np.flatnonzero(np.diff(depth[order])) + 1)
     up, message = own.copy(), np.zeros_like(own)
     for nodes in reversed(levels[1:]):
         message[nodes] = np.logaddexp(up[nodes, :1] + pair[nodes, :, 0], up[nodes, 1:] + pair[nodes, :, 1])
@@ -328,10 +408,11 @@ EXAMPLE_SHARE = 1 / 6
 
 def fit(pages: DataFrame, *, html: str = "html", id_column: str = "page_id", limit: int = LEARN_FROM) -> Model:
     """A model from the examples and at most ``limit`` pages, chosen by the hash of their ids."""
-    ids = pages.select(F.col(id_column).alias("id")).where("id IS NOT NULL").distinct()
-    chosen = ids.orderBy(F.xxhash64("id"), "id").limit(limit)
-    own = pages.select(F.col(id_column).alias("id"), F.col(html).alias("html")).where("html IS NOT NULL")
-    sample = own.join(F.broadcast(chosen), "id", "left_semi")
+    own = pages.select(F.col(id_column).alias("id"), F.col(html).alias("html")).where("id IS NOT NULL AND html IS NOT NULL")
+    own = own.withColumn("h", F.xxhash64("html"))
+    # Distinct pages, as one id can stand on any number of rows.
+    chosen = own.select("id", "h").distinct().orderBy(F.xxhash64("id", "h"), "id", "h").limit(limit)
+    sample = own.join(F.broadcast(chosen), ["id", "h"], "left_semi").groupBy("id", "h").agg(F.first("html").alias("html")).drop("h")
     fields = [StructField("counted", StringType())]
 
     def start():
