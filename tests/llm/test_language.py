@@ -70,3 +70,8 @@ def test_odd_rows(spark):
     nothing = L.fit(cases.empty(spark))
     assert nothing.labels == () and {r.lang_pred for r in L.predict(docs, nothing).collect()} == {"und"}
     assert L.predict(cases.empty(spark), model).count() == 0
+
+
+def test_one_id_on_many_rows_is_bounded(spark):
+    docs = spark.range(3000).selectExpr("1L AS doc_id", "concat('text number ', id) AS text", "'en' AS lang")
+    assert L.labelled_pieces(docs.union(docs), per_label=10).count() == 10

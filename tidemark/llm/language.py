@@ -57,21 +57,24 @@ def labelled_pieces(
         F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").alias("label")
     )
     named = own.where("id IS NOT NULL AND label IS NOT NULL AND text IS NOT NULL")
-    ids = named.select("id", "label", F.xxhash64("id").alias("h"))
+    # Distinct texts, as one id can stand on any number of rows.
+    named = named.withColumn("content", F.xxhash64("text"))
+    ids = named.select("id", "label", "content").distinct().withColumn("h", F.xxhash64("id"))
     # First the least hashes of many small groups, then those of each label: no group holds a whole label.
-    part = Window.partitionBy("label", F.pmod("h", F.lit(256))).orderBy("h", "id")
-    whole = Window.partitionBy("label").orderBy("h", "id")
+    part = Window.partitionBy("label", F.pmod(F.xxhash64("id", "content"), F.lit(256))).orderBy("h", "id", "content")
+    whole = Window.partitionBy("label").orderBy("h", "id", "content")
     chosen = (
         ids.withColumn("nth", F.row_number().over(part)).where(F.col("nth") <= per_label)
         .withColumn("nth", F.row_number().over(whole)).where(F.col("nth") <= per_label)
-        .select("id", "label").distinct()
+        .select("id", "label", "content")
     )
     cut = F.expr(
         f"transform(sequence(0, {pieces - 1}), i -> substring(text, "
         f"cast(i * greatest(length(text) - {WINDOW}, 0) div {pieces} as int) + 1, {WINDOW}))"
     )
-    return named.join(F.broadcast(chosen), ["id", "label"], "left_semi").select(
-        "id", "label", F.explode(F.array_distinct(cut)).alias("piece")
+    found = named.join(F.broadcast(chosen), ["id", "label", "content"], "left_semi").select("id", "label", "content", cut.alias("cut"))
+    return found.groupBy("id", "label", "content").agg(F.first("cut").alias("cut")).select(
+        "id", "label", F.explode(F.array_distinct("cut")).alias("piece")
     )
 
 

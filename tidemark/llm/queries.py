@@ -284,7 +284,7 @@ lines AS (
 full_lines AS (SELECT * FROM lines WHERE len(words) > 0),
 later AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY r),
 common AS (
-  SELECT source, words FROM full_lines WHERE len(words) >= 5 GROUP BY source, words HAVING count(DISTINCT content) > 10),
+  SELECT source, words FROM full_lines GROUP BY source, words HAVING count(DISTINCT content) > 10),
 taken AS (
   SELECT r, sum(len(l.words)) AS n FROM full_lines AS l
   JOIN common AS c ON l.words = c.words AND l.source IS NOT DISTINCT FROM c.source GROUP BY r),

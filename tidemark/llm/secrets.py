@@ -130,10 +130,12 @@ def labelled_samples(docs: DataFrame, text: str = "text", id_column: str = "doc_
     Random: values of the fixed patterns, and digests of the ids in the usual
     alphabets. Ordinary: all other tokens, as written and in both cases.
     """
-    ids = docs.select(F.col(id_column).alias("id")).where("id IS NOT NULL").distinct()
-    chosen = ids.orderBy(F.xxhash64("id"), "id").limit(limit)
-    own = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    known = stored(own.join(F.broadcast(chosen), "id", "left_semi"))
+    own = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).where("id IS NOT NULL")
+    own = own.withColumn("content", F.xxhash64("text"))
+    # Distinct texts, as one id can stand on any number of rows.
+    chosen = own.select("id", "content").distinct().orderBy(F.xxhash64("id"), "id", "content").limit(limit)
+    sample = own.join(F.broadcast(chosen), ["id", "content"], "left_semi")
+    known = stored(sample.groupBy("id", "content").agg(F.first("text").alias("text")))
     for kind, (pattern, condition, _) in KINDS.items():
         known = known.withColumn(kind, matches("text", pattern, condition))
     value = F.expr(
@@ -144,7 +146,7 @@ def labelled_samples(docs: DataFrame, text: str = "text", id_column: str = "doc_
     known = stored(known.select("text", value.alias("secrets")))
     secret = known.select(F.explode_outer("secrets").alias("token"))
     digest = F.unhex(F.sha2(F.col("id").cast("string"), 512))
-    made = chosen.select(F.explode(F.array(F.base64(digest), F.lower(F.hex(digest)), F.upper(F.base64(digest)))).alias("token"))
+    made = chosen.select("id").distinct().select(F.explode(F.array(F.base64(digest), F.lower(F.hex(digest)), F.upper(F.base64(digest)))).alias("token"))
     plain = known.select(
         F.explode_outer(F.array_except(F.expr("regexp_extract_all(text, '[A-Za-z0-9+/_=-]{3,}', 0)"), "secrets")).alias("token")
     ).where("token not rlike '[0-9a-f]{16}|AKIA[A-Z0-9]{14}'")
