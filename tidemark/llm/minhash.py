@@ -47,6 +47,8 @@ BITS = 4096
 FOLDED = 8
 # Rarer shingles of a member that go with each, so that a pair is not made once more at every shingle it shares.
 BEFORE = 16
+# Buckets in which shingles are counted, to put them in order.
+BUCKETS = 2**20
 
 _RNG = np.random.default_rng(8)
 _XOR = _RNG.integers(0, 2**63, 1024, dtype=np.uint64)
@@ -239,47 +241,105 @@ def _stars(large: DataFrame) -> DataFrame:
     )
 
 
+def _unsettled(large: DataFrame, labels: DataFrame) -> DataFrame:
+    """Classes of the ``large`` keys whose members are in more than one component; the other keys have nothing to add."""
+    own = large.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn(
+        "component", F.coalesce("component", "class")
+    )
+    open_keys = own.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
+    return large.join(open_keys.select("key"), "key").select("class").distinct()
+
+
+def _shared_counts(rows: DataFrame) -> np.ndarray:
+    """Per bucket of shingles the number of members that hold one; 0 where all of them are in one component.
+
+    Always ``BUCKETS`` numbers, so what the driver gets doesn't grow with the input.
+    """
+    counts = (
+        rows.select("component", F.explode("shingles").alias("shingle"))
+        .groupBy(F.pmod("shingle", F.lit(BUCKETS)).cast("int").alias("bucket"))
+        .agg(F.count("*").alias("df"), F.min("component").alias("least"), F.max("component").alias("most"))
+        .where("least < most")
+        .select("bucket", F.least("df", F.lit(2**32 - 1)).alias("df"))
+        .toArrow()
+    )
+    found = np.zeros(BUCKETS, dtype=np.uint32)
+    found[counts["bucket"].to_numpy()] = counts["df"].to_numpy()
+    return found
+
+
+PREFIX = StructType(
+    [
+        *(StructField(name, LongType()) for name in ("class", "n", "component", "rest", "shingle")),
+        StructField("before", ArrayType(LongType())),
+        *(StructField(f"b{k}", LongType()) for k in range(FOLDED)),
+    ]
+)
+
+
+def _prefixes(rows: DataFrame, percent: int) -> DataFrame:
+    """The first shingles of each member, as many as a similar member must share one of.
+
+    Those in buckets of one component come first and are left out; the others go by the counts of
+    their buckets, then by themselves. ``rest`` counts the shingles from this one on, ``before`` holds
+    the few before it, and ``b0`` and so on are the bitmap folded.
+    """
+    counts = rows.sparkSession.sparkContext.broadcast(_shared_counts(rows))
+
+    def start():
+        df = counts.value
+
+        def block(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+            made: dict[str, list] = {name: [] for name in PREFIX.fieldNames()}
+            columns = {name: batch.column(batch.schema.get_field_index(name)) for name in batch.schema.names}
+            numbers = {name: columns[name].to_numpy() for name in ("class", "n", "component")}
+            for row in range(batch.num_rows):
+                shingles = columns["shingles"][row].values.to_numpy()
+                often = df[shingles % BUCKETS]
+                between = often > 0
+                n, alone = len(shingles), int(len(shingles) - between.sum())
+                take = n - (n * percent + 99) // 100 + 1 - alone
+                if take <= 0:
+                    continue
+                shingles, often = shingles[between], often[between]
+                own = shingles[np.lexsort((shingles, often))][:take]
+                folded = np.bitwise_or.reduce(columns["bits"][row].values.to_numpy().reshape(-1, FOLDED))
+                for name in numbers:
+                    made[name].append(np.full(len(own), numbers[name][row]))
+                made["rest"].append(n - alone - np.arange(len(own)))
+                made["shingle"].append(own)
+                made["before"] += [own[max(k - BEFORE, 0) : k] for k in range(len(own))]
+                for k in range(FOLDED):
+                    made[f"b{k}"].append(np.full(len(own), folded[k]))
+            none = np.empty(0, dtype=np.int64)
+            return {
+                name: pa.array(made[name], pa.list_(pa.int64())) if name == "before" else pa.array(np.concatenate([none, *made[name]]))
+                for name in made
+            }
+
+        return block
+
+    return rows_from_blocks(rows, PREFIX, start)
+
+
 def _rarest_shared(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs of ``members`` of different components that their rarest shingles allow to be similar.
 
-    With shingles in one order, rarest first, two sets that are similar enough
-    share a shingle among the first n - ceil(n * percent / 100) + 1 of each,
-    and behind their first common shingle enough must remain in both.
+    With shingles in one order, two sets that are similar enough share a
+    shingle among the first n - ceil(n * percent / 100) + 1 of each, and behind
+    their first common shingle enough must remain in both. Members of different
+    components share no shingle that stands in one component only. The order
+    is by counts of buckets; any order gives the same pairs, a good one fewer
+    comparisons.
     """
-    # The bitmap folded to a few numbers, which the join compares before it gives a pair out.
-    words, each = [f"b{k}" for k in range(FOLDED)], BITS // 64 // FOLDED
-    folded = [F.expr(" | ".join(f"bits[{k + FOLDED * j}]" for j in range(each))).alias(b) for k, b in enumerate(words)]
-    rows = (
-        members.join(sets.select("class", "n", "shingles"), "class")
+    # The bitmap is folded to a few numbers, which the join compares before it gives a pair out.
+    words = [f"b{k}" for k in range(FOLDED)]
+    rows = stored(
+        members.join(sets.select("class", "n", "bits", "shingles"), "class")
         .join(labels.select(F.col("node").alias("class"), "component"), "class", "left")
-        .select("class", "n", F.coalesce("component", "class").alias("component"), F.explode("shingles").alias("shingle"))
-    )
-    frequency = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    first = F.expr(f"n - (n * {percent} + 99) div 100 + 1")
-    ordered = (
-        rows.join(frequency, "shingle")
-        .groupBy("class", "n", "component")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("own"))
-        # Shingles of one member alone come first; they are not among these.
-        .select("class", "n", "component", "own", (F.col("n") - F.size("own")).alias("alone"))
-        .select("class", "n", "component", "alone", F.expr("slice(own, 1, size(own))").alias("own"), first.alias("first"))
-        .where("first > alone")
-        .select("class", "n", "component", "alone", F.expr("slice(own.shingle, 1, cast(first - alone as int))").alias("own"))
-        # Each with the few before it: two members that share one of those are paired there already.
-        .select(
-            "class", "n", "component", "alone",
-            F.posexplode(
-                F.expr(
-                    "transform(own, (x, i) -> named_struct('shingle', x, "
-                    f"'before', slice(own, greatest(i - {BEFORE - 1}, 1), least(i, {BEFORE}))))"
-                )
-            ).alias("at", "item"),
-        )
-        .select(
-            "class", "n", "component", (F.col("n") - F.col("alone") - F.col("at")).alias("rest"), "item.shingle", "item.before"
-        )
-        .join(sets.select("class", *folded), "class")
+        .select("class", "n", F.coalesce("component", "class").alias("component"), "bits", "shingles")
     )
+    ordered = stored(_prefixes(rows, percent))
     left, right = ordered.alias("l"), ordered.alias("r")
     lacks = lambda one, other: sum(
         F.bit_count(F.col(f"{one}.{b}").bitwiseAND(F.bitwise_not(F.col(f"{other}.{b}")))) for b in words
@@ -354,7 +414,7 @@ def near_duplicates(
     links = stored(confirmed(_pairs_of_few(keys, few).unionByName(_stars(large)).distinct(), sets, percent))
     labels = components(links)
     if not large.isEmpty():
-        rest = stored(confirmed(_rarest_shared(large.select("class").distinct(), sets, labels, percent), sets, percent))
+        rest = stored(confirmed(_rarest_shared(_unsettled(large, labels), sets, labels, percent), sets, percent))
         if not rest.isEmpty():
             labels = _merged(labels, rest)
     named = classes.select("class", "smallest").join(
