@@ -2,7 +2,7 @@
 
 Both models are first-order over the characters of tokens: one of random
 strings, one of ordinary identifiers, trained from labelled samples by counting
-neighbouring characters, with the counts of single ones behind them. A token is a secret
+neighbouring characters, mixed with the chances behind a kind of character. A token is a secret
 if its log-likelihood ratio, in total and per character, is high enough.
 
 All of it is column expressions; the texts are neither joined nor shuffled.
@@ -12,7 +12,9 @@ Defined cases: null and empty text has no spans; repeated rows get equal
 results; other columns stay, but those with names of the results are replaced;
 an empty table gives an empty result; without samples all ratios are 0 and no
 token is a secret. Places are code points, ends exclusive. Per kind the
-matches are leftmost and don't overlap.
+matches are leftmost and don't overlap. A token inside a span of a pattern is
+not listed once more; one that reaches beyond it is. Very long texts and
+tokens are looked at whole.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ VALUE = "[A-Za-z0-9+/_.=-]+"
 ASSIGN = rf"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?({VALUE})"""
 ACCESS = "(AKIA[A-Z0-9]+)"
 HEX = "([0-9a-f]+)"
-TOKEN = "([A-Za-z0-9+/_=-]{20,})"
+TOKEN = "([A-Za-z0-9+/_=-]{12,})"
 # Kind: pattern, a cheaper condition that a text with such a secret meets, least length of the value.
 KINDS = {
     "assign": (ASSIGN, "(?i:password|passwd|secret|token|api_?key)", 12),
@@ -42,9 +44,22 @@ ALPHABET = "+-/0123456789=ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz"
 # Ratios are kept in thousandths.
 UNIT = 1000
 # Least log-likelihood ratio of a secret, in total and per pair of characters.
-LEAST_TOTAL, LEAST_MEAN = 15.0, 0.5
-# How many counts of a first character the chances of the second alone weigh.
-BACKOFF = 5.0
+LEAST_TOTAL, LEAST_MEAN = 10.0, 1.0
+# Weight of the chances of a character behind any of the kind (small, capital, digit, other) of the one before it.
+BACKOFF = 0.3
+# Words of names in code: labelled samples of ordinary identifiers, besides those of the texts.
+CODE_WORDS = (
+    "account action adapter address application argument array attribute balance block body bool boolean bridge "
+    "build bundle byte calendar callback cell channel char check class cluster code collection column command "
+    "component config container context controller convert count create current cursor data date debug default "
+    "delete descriptor dialog directory document domain double driver dump element email enable engine entity enum "
+    "error exception execute export factory field file filter find flag folder format frame function generic group "
+    "height helper host icon import info init input insert int interface item iterator job label layer layout length "
+    "level library line link loader location log loop manager mapper matrix memory menu message method metric model "
+    "module monitor mutex name network null number object offset open option order output page panel parent password path "
+    "payload plugin point policy port position primary print process product profile property protocol queue query random "
+    "record"
+)
 # Texts at most that give samples.
 SAMPLE_TEXTS = 2000
 
@@ -97,6 +112,10 @@ class Model:
         )
 
 
+def _kind(character: str) -> int:
+    return 0 if character.islower() else 1 if character.isupper() else 2 if character.isdigit() else 3
+
+
 def train(samples: DataFrame) -> Model:
     """A model from ``samples`` (token, random). The driver gets one count per label and pair of characters."""
     pairs = samples.where("length(token) > 1").select(
@@ -115,11 +134,16 @@ def train(samples: DataFrame) -> Model:
         return Model((0,) * size**2)
     every = range(size)
     first = {(label, a): sum(counts.get((label, a, b), 0) for b in every) for label in (True, False) for a in every}
-    second = {(label, b): sum(counts.get((label, a, b), 0) for a in every) for label in (True, False) for b in every}
+    kind = [_kind(c) for c in " " + ALPHABET]
+    behind: dict[tuple[bool, int, int], float] = {}
+    for (label, a, b), n in counts.items():
+        behind[label, kind[a], b] = behind.get((label, kind[a], b), 0) + n
+    total = {(label, k): sum(behind.get((label, k, b), 0) for b in every) for label in (True, False) for k in range(4)}
 
     def chance(label: bool, a: int, b: int) -> float:
-        alone = (second[label, b] + 0.5) / (sum(second[label, c] for c in every) + 0.5 * size)
-        return (counts.get((label, a, b), 0) + BACKOFF * alone) / (first[label, a] + BACKOFF)
+        alone = (behind.get((label, kind[a], b), 0) + 0.5) / (total[label, kind[a]] + 0.5 * size)
+        seen = counts.get((label, a, b), 0) / first[label, a] if first[label, a] else alone
+        return (1 - BACKOFF) * seen + BACKOFF * alone
 
     return Model(tuple(round(UNIT * math.log(chance(True, a, b) / chance(False, a, b))) for a in every for b in every))
 
@@ -128,7 +152,8 @@ def labelled_samples(docs: DataFrame, text: str = "text", id_column: str = "doc_
     """Tokens with labels from at most ``limit`` texts, chosen by the hash of their ids.
 
     Random: values of the fixed patterns, and digests of the ids in the usual
-    alphabets. Ordinary: all other tokens, as written and in both cases.
+    alphabets. Ordinary: all other tokens, as written and in both cases, and
+    names made of neighbouring words.
     """
     own = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).where("id IS NOT NULL")
     own = own.withColumn("content", F.xxhash64("text"))
@@ -146,14 +171,41 @@ def labelled_samples(docs: DataFrame, text: str = "text", id_column: str = "doc_
     known = stored(known.select("text", value.alias("secrets")))
     secret = known.select(F.explode_outer("secrets").alias("token"))
     digest = F.unhex(F.sha2(F.col("id").cast("string"), 512))
-    made = chosen.select("id").distinct().select(F.explode(F.array(F.base64(digest), F.lower(F.hex(digest)), F.upper(F.base64(digest)))).alias("token"))
+    letters = F.base64(digest)
+    alphabets = F.array(
+        letters, F.lower(F.hex(digest)), F.upper(letters), F.lower(letters), F.regexp_replace(letters, "[^A-Za-z0-9]", "")
+    )
+    made = chosen.select("id").distinct().select(F.explode(alphabets).alias("token"))
     plain = known.select(
         F.explode_outer(F.array_except(F.expr("regexp_extract_all(text, '[A-Za-z0-9+/_=-]{3,}', 0)"), "secrets")).alias("token")
     ).where("token not rlike '[0-9a-f]{16}|AKIA[A-Z0-9]{14}'")
     cased = plain.select(F.explode(F.array("token", F.lower("token"), F.upper("token"))).alias("token"))
     return secret.union(made).select("token", F.lit(True).alias("random")).union(
-        cased.select("token", F.lit(False).alias("random"))
+        cased.union(identifiers(known)).select("token", F.lit(False).alias("random"))
+    )
+
+
+def identifiers(texts: DataFrame) -> DataFrame:
+    """``token``: names as code has them, of two to four words that follow each other in ``texts`` (text), once a text.
+
+    ``CODE_WORDS`` are a text of their own, once in the order given and eight times in other ones.
+    """
+    code = texts.sparkSession.range(9).select(
+        F.expr(f"array_join(transform(array_sort(transform(split('{CODE_WORDS}', ' '), (w, i) -> "
+               "struct(if(id = 0, i, xxhash64(w, id)) AS at, w AS w))), x -> x.w), ' ')").alias("text")
+    )
+    texts = texts.select("text").union(code)
+    groups = texts.select(F.expr("regexp_extract_all(text, '[A-Za-z]{2,}', 0)").alias("w")).where("size(w) > 1").select(
+        F.explode(
+            F.expr("array_distinct(transform(sequence(1, size(w) - 1, 3), i -> transform(slice(w, i, 2 + int(i / 3) % 3), p -> lower(p))))")
+        ).alias("g")
     )
+    title = "array_join(transform(g, p -> initcap(p)), '')"
+    forms = [
+        "array_join(g, '_')", "upper(array_join(g, '_'))", "array_join(g, '-')", "array_join(g, '/')", "array_join(g, '')",
+        title, f"concat(g[0], substring({title}, length(g[0]) + 1))",
+    ]
+    return groups.select(F.explode(F.expr(f"array({', '.join(forms)})")).alias("token"))
 
 
 def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -177,7 +229,7 @@ def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             "spans",
             F.expr(
                 "array_sort(concat(base_spans, filter(others, m -> "
-                "not exists(base_spans, b -> b.start < m.end and m.start < b.end))))"
+                "not exists(base_spans, b -> b.start <= m.start and m.end <= b.end))))"
             ),
         )
         .select(*(F.col(f"row.`{c}`").alias(c) for c in kept), "base_spans", "spans")
