@@ -87,3 +87,14 @@ def test_passages_of_clean_documents_go(spark, tmp_path):
     got = {r.doc_id: (r.text, r.n_chars) for r in P.remove_contaminated(spark, docs, sf_dir).collect()}
     left = f"{words}  {words}"
     assert got == {1: (left, len(left)), 2: (words, 7)}
+
+
+def test_one_of_repeated_rows_stays(spark, tmp_path):
+    text = " ".join(f"w{i}" for i in range(60))
+    near, other = text + " tail", " ".join(f"v{i}" for i in range(60))
+    rows = [(1, text), (1, text), (1, text), (1, near), (1, other), (2, text), (3, near), (4, None), (4, None), (4, ""), (None, "alone"), (None, "alone")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, row string")
+    got = sorted(((r.doc_id, r.text) for r in P.dedup_documents(spark, docs, str(tmp_path)).collect()), key=str)
+    one = [t for i, t in got if i == 1 and t != other]
+    assert len(one) == 1 and one[0] in (text, near)
+    assert [g for g in got if g not in ((1, text), (1, near))] == sorted([(1, other), (4, None), (4, ""), (None, "alone")], key=str)

@@ -387,8 +387,13 @@ def near_duplicates(
     tables: int = TABLES,
     rows: int = ROWS,
     few: int = FEW,
+    with_content: bool = False,
 ) -> DataFrame:
-    """One row per document: id, ``n_shingles``, ``component_id`` and ``kept``."""
+    """One row per document: id, ``n_shingles``, ``component_id`` and ``kept``.
+
+    ``with_content`` adds ``content``, the xxhash64 of the text, and ``component``, a number of
+    the component that no id has a part in (null without shingles).
+    """
     own = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     signed = stored(signatures(own, size, tables, rows))
     classes = stored(
@@ -421,13 +426,14 @@ def near_duplicates(
         labels.select(F.col("node").alias("class"), "component"), "class", "left"
     ).select("class", "smallest", F.coalesce("component", "class").alias("component"))
     smallest = named.groupBy("component").agg(F.min("smallest").alias("component_id"))
-    found = named.join(smallest, "component").select("class", "component_id")
+    found = named.join(smallest, "component").select("class", "component_id", "component")
     return (
         signed.join(found, "class", "left")
         .select(
             F.col("id").alias(id_column),
             F.col("n").alias("n_shingles"),
             F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+            *(["content", "component"] if with_content else []),
         )
         .withColumn("kept", F.col(id_column).eqNullSafe(F.col("component_id")))
     )
