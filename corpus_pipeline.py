@@ -3,6 +3,12 @@
 Every stage reads what its predecessor kept and returns a DataFrame, which is
 written as Parquet in the shared folder and read again. All but the last
 return the columns of documents.
+
+Defined cases: a null or empty text has no language and goes in the first
+stage; equal rows of one id are copies, one of which the third stage keeps;
+rows of one id with different texts are different documents; other columns
+stay as they are until the last stage; very long texts are handled whole; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -14,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, language, line_dedup, minhash
-from tidemark.llm.common import documents, shared_folder
+from tidemark.llm.common import documents, shared_folder, stored
 from tidemark.llm.queries import tokenizer_file
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -40,9 +46,31 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, that with the smallest id."""
-    ids = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    """One document of each group of near-duplicates stays, that with the smallest id.
+
+    Of several texts of that id in one group, one stays; of rows with equal id and text, one
+    stays. Texts without a word are in no group.
+    """
+    kept = minhash.near_duplicates(docs, with_content=True).where("kept")
+    alone = F.when(F.col("component").isNull(), F.col("content"))
+    chosen = stored(
+        kept.groupBy("doc_id", "component", "content").count()
+        .groupBy("doc_id", "component", alone.alias("alone"))
+        .agg(F.min(F.struct("content", "count")).alias("first"))
+        .select(F.col("doc_id").alias("kept_id"), F.col("first.content").alias("kept_content"), F.col("first.count").alias("rows"))
+    )
+
+    def of(wanted: DataFrame) -> DataFrame:
+        own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+        same = F.col("row.doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("row.text") == F.col("kept_content"))
+        return own.join(wanted, same, "left_semi")
+
+    once = of(chosen.where("rows = 1")).select("row.*")
+    repeated = chosen.where("rows > 1")
+    if repeated.isEmpty():
+        return once
+    first = of(repeated).groupBy(F.col("row.doc_id"), F.xxhash64("row.text")).agg(F.first("row").alias("row"))
+    return once.unionByName(first.select("row.*"))
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
