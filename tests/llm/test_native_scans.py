@@ -157,3 +157,44 @@ def test_templates_are_found_where_they_stand(spark):
             assert any(f.first == 1 for f in found), texts[r.doc_id]
         else:
             assert not r.found
+
+
+def altered(words, share, rng):
+    """``words`` with that share of them exchanged, left out or followed by another one."""
+    out = []
+    for word in words:
+        kind = rng.randrange(3) if rng.random() < share else None
+        out += {None: [word], 0: ["otherwise"], 1: [], 2: [word, "moreover"]}[kind]
+    return out
+
+
+def test_altered_copies_of_whole_licenses(spark):
+    rng = random.Random(12)
+    whole = licenses.WHOLE
+    assert {label for label, _ in whole} >= {"mit", "bsd", "isc", "zlib", "apache", "gpl", "lgpl"} and all(len(words_of(t)) > 25 for _, t in whole)
+    texts = []
+    for label, text in whole:
+        for share in (0, 0.02, 0.05):
+            # Comment signs and line ends stand between words only.
+            body = altered(text.split(), share, rng)
+            lines = "\n".join(" * " + " ".join(body[i : i + 9]) for i in range(0, len(body), 9))
+            texts.append((label, share, f"Some words before it.\n{lines}\nint main() {{ return 0; }}"))
+    shuffled = [" ".join(rng.sample(text.split(), len(text.split()))) for _, text in whole]
+    docs = spark.createDataFrame(list(enumerate([t for *_, t in texts] + shuffled)), "doc_id long, text string")
+    got = {r.doc_id: r.found for r in licenses.scan(docs).collect()}
+    for i, (label, share, text) in enumerate(texts):
+        found = [f for f in got[i] if f.label == label]
+        assert found, (label, share)
+        if not share:
+            assert any((f.first, f.end, f.cover) == (4, len(words_of(text)) - 4, 1) for f in found), label
+    # The same words in another order are no license.
+    assert not any(got[i] for i in range(len(texts), len(texts) + len(whole)))
+
+
+def test_licenses_in_odd_rows(spark):
+    mit = licenses.TEMPLATES[0][1]
+    rows = [(1, mit), (1, mit), (1, "none here at all, no words of one"), (None, mit), (2, (mit + " and more words here ") * 300)]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, template int")
+    got = licenses.scan(docs).collect()
+    assert sorted((r.doc_id or 0, r.n_words, len(r.found)) for r in got) == [(0, 5, 1), (1, 5, 1), (1, 5, 1), (1, 8, 0), (2, 2700, 300)]
+    assert {r.found[0].label for r in licenses.scan(docs, [("a", "one two"), ("b", "Under the MIT License today")]).collect() if r.found} == set()

@@ -7,59 +7,33 @@ is a license if enough of the template's places are matched within a span that
 is not much longer than the template.
 
 All of it is DataFrame operations. The templates' grams are at most
-``MAX_GRAMS`` rows, which is checked, and broadcast; texts are never shuffled,
-only matches and counts are.
+``MAX_GRAMS`` rows, which is checked, and broadcast; texts are read once and
+never shuffled, only matches and counts are.
+
+Licenses of one family share most of their words, so that a text can bear the
+labels of two of them (the notice of the LGPL is close to the GPL's).
 
 Defined cases: null and empty text has no words, no labels and score 0;
 repeated rows get equal results; other columns are ignored; an empty table
-gives an empty result.
+gives an empty result; very long texts are looked at whole; a license that
+stands in a text several times is found as often; a template of fewer than
+four words is never found.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
+from tidemark.llm.license_texts import EVERY, TEMPLATES, WHOLE  # noqa: F401
 
 # Phrases with their labels, as words in lower case.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Wording of common notices.
-TEMPLATES = [
-    ("mit", "Released under the MIT License."),
-    ("mit", "This software is licensed under the MIT License."),
-    (
-        "mit",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-        "associated documentation files, to deal in the Software without restriction",
-    ),
-    ("apache", "Licensed under the Apache License, Version 2.0."),
-    (
-        "apache",
-        "You may not use this file except in compliance with the License. You may obtain a copy of the License at "
-        "http://www.apache.org/licenses/LICENSE-2.0",
-    ),
-    ("gpl", "This work is licensed under the GNU General Public License, version 3."),
-    (
-        "gpl",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-        "General Public License as published by the Free Software Foundation",
-    ),
-    (
-        "bsd",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-        "that the following conditions are met",
-    ),
-    (
-        "mpl",
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    ),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-]
-
-WORD = r"[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GRAM = 4
 MAX_GRAMS = 100_000
 # Diagonals this close are one, for words put in or left out.
@@ -70,7 +44,7 @@ LEAST_COVER, STRETCH = 0.6, 1.5
 
 def _words(text: str) -> Column:
     # Letters beyond ASCII are lowered too; none of them becomes a word of a phrase or leaves a word.
-    return F.expr(f"regexp_extract_all(lower(coalesce({text}, '')), '{WORD}', 0)")
+    return F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(WORD), F.lit(0))
 
 
 def _grams(words: str) -> Column:
@@ -120,27 +94,33 @@ def scan(
     ``found`` lists each license of the templates by label: its first word,
     the word after its last, and the part of the template that is matched.
     """
-    templates = TEMPLATES if templates is None else templates
-    if sum(len(t.split()) for _, t in templates) > MAX_GRAMS:
+    templates = EVERY if templates is None else templates
+    if sum(len(re.findall(WORD, t)) for _, t in templates) > MAX_GRAMS:
         raise ValueError(f"templates have more than {MAX_GRAMS} words")
     known = F.broadcast(template_grams(docs.sparkSession, templates))
     own = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     keyed = own.select("id", F.xxhash64("id", "text").alias("row"), _words("text").alias("words"))
-    # The texts are read once: matches and counts are kept together, by row.
     grams = keyed.select(
         "id", "row", F.size("words").cast("long").alias("n_words"), _places("words").alias("places"),
         _grams("words").alias("grams"),
     )
-    return _voted(grams, known, id_column)
+    # The texts are read once: a first, empty gram carries what is known of the row, the others are kept if they match.
+    first = F.expr("concat(array(cast(null as bigint)), grams)")
+    kept = stored(
+        # Outer: else a filter on the whole list of grams would be made and pushed into the splitting of words.
+        grams.select("*", F.posexplode_outer(first).alias("nth", "gram"))
+        .join(known, "gram", "left")
+        .where("nth = 0 OR template IS NOT NULL")
+        .select(
+            "row", "nth", "template", "label", "length", "place",
+            *(F.when(F.col("nth") == 0, F.col(c)).alias(c) for c in ("id", "n_words", "places")),
+        )
+    )
+    matches = kept.where("nth > 0").select("row", "template", "label", "length", "place", F.expr("nth - 1").alias("at"))
+    return _voted(kept.where("nth = 0").select("id", "row", "n_words", "places"), matches.distinct(), id_column)
 
 
-def _voted(grams: DataFrame, known: DataFrame, id_column: str) -> DataFrame:
-    matches = stored(
-        # Outer: else a filter on the whole list of grams would be made and pushed into the splitting of words.
-        grams.select("row", F.posexplode_outer("grams").alias("at", "gram"))
-        .join(known, "gram")
-        .select("row", "template", "label", "length", "place", "at")
-    ).distinct()
+def _voted(rows: DataFrame, matches: DataFrame, id_column: str) -> DataFrame:
     diagonals = matches.groupBy("row", "template", "label", "length", F.expr("at - place").alias("diagonal")).agg(
         F.collect_set("place").alias("places"), F.min("at").alias("first"), F.max("at").alias("last")
     )
@@ -161,7 +141,7 @@ def _voted(grams: DataFrame, known: DataFrame, id_column: str) -> DataFrame:
     found = verified.groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("label", "first", "end", cover.alias("cover")))).alias("found")
     )
-    return grams.select("id", "row", "n_words", "places").join(found, "row", "left").select(
+    return rows.join(found, "row", "left").select(
         F.col("id").alias(id_column),
         "n_words",
         "places",

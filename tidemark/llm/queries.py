@@ -225,7 +225,8 @@ FROM judged
 """
 
 def _template_rows() -> str:
-    rows = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(licenses.TEMPLATES))
+    quoted = [(label, text.replace("'", "''")) for label, text in licenses.EVERY]
+    rows = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(quoted))
     return f"(VALUES {rows}) AS v(template, label, text)"
 
 
