@@ -83,3 +83,17 @@ def test_components_of_a_long_chain(spark):
     assert {got[i] for i in range(100, 161)} == {100}
     assert (got[7], got[8], got[3], got[200]) == (7, 7, 3, 3) and 9 not in got
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_counts_of_buckets_equal_brute_force(spark):
+    rng = random.Random(5)
+    rows = [(c, [rng.randrange(-(2**62), 2**62) if rng.random() < 0.5 else rng.randrange(40) - 20 for _ in range(rng.randrange(30))])
+            for c in rng.choices([-(2**60), 7, 9, 2**61], k=200)]
+    held = {}
+    for component, shingles in rows:
+        for shingle in shingles:
+            held.setdefault(shingle % M.BUCKETS, []).append(component)
+    df = spark.createDataFrame(rows, "component long, shingles array<long>").repartition(3)
+    got = M._shared_counts(df)
+    assert {i: int(got[i]) for i in got.nonzero()[0]} == {b: len(c) for b, c in held.items() if len(set(c)) > 1}
+    assert not M._shared_counts(df.where("false")).any()

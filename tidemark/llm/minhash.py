@@ -250,15 +250,51 @@ def _unsettled(large: DataFrame, labels: DataFrame) -> DataFrame:
     return large.join(open_keys.select("key"), "key").select("class").distinct()
 
 
+COUNTS = StructType([StructField(name, LongType()) for name in ("bucket", "df", "least", "most")])
+# Shingles that are counted at once, rounded up to whole members.
+COUNTED = 1 << 20
+
+
+def _bucket_counts(rows: DataFrame) -> DataFrame:
+    """Per run of members: each bucket with its count of shingles, and the least and greatest component that has one."""
+
+    def start():
+        def block(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+            lists = batch.column(batch.schema.get_field_index("shingles"))
+            component = batch.column(batch.schema.get_field_index("component")).to_numpy()
+            ends = np.cumsum(lists.value_lengths().to_numpy())
+            run = (ends - 1) // COUNTED
+            cuts = [0, *(np.flatnonzero(run[1:] != run[:-1]) + 1).tolist(), len(ends)]
+            made: dict[str, list] = {name: [np.empty(0, dtype=np.int64)] for name in COUNTS.fieldNames()}
+            for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                part = lists.slice(low, high - low)
+                bucket = part.flatten().to_numpy() % BUCKETS
+                if not len(bucket):
+                    continue
+                order = np.argsort(bucket, kind="stable")
+                bucket = bucket[order]
+                owner = np.repeat(component[low:high], part.value_lengths().to_numpy())[order]
+                first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+                made["bucket"].append(bucket[first])
+                made["df"].append(np.diff(np.append(first, len(bucket))))
+                made["least"].append(np.minimum.reduceat(owner, first))
+                made["most"].append(np.maximum.reduceat(owner, first))
+            return {name: pa.array(np.concatenate(made[name])) for name in made}
+
+        return block
+
+    return rows_from_blocks(rows.select("component", "shingles"), COUNTS, start)
+
+
 def _shared_counts(rows: DataFrame) -> np.ndarray:
     """Per bucket of shingles the number of members that hold one; 0 where all of them are in one component.
 
     Always ``BUCKETS`` numbers, so what the driver gets doesn't grow with the input.
     """
     counts = (
-        rows.select("component", F.explode("shingles").alias("shingle"))
-        .groupBy(F.pmod("shingle", F.lit(BUCKETS)).cast("int").alias("bucket"))
-        .agg(F.count("*").alias("df"), F.min("component").alias("least"), F.max("component").alias("most"))
+        _bucket_counts(rows)
+        .groupBy("bucket")
+        .agg(F.sum("df").alias("df"), F.min("least").alias("least"), F.max("most").alias("most"))
         .where("least < most")
         .select("bucket", F.least("df", F.lit(2**32 - 1)).alias("df"))
         .toArrow()
