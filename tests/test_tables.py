@@ -419,3 +419,44 @@ def test_swap_that_broke_off_behind_its_second_rename_is_ended(spark, flat, monk
     assert tables.read_table(spark, flat, schemas.BRONZE_AIR_QUALITY).count() == 3
     assert tables._swap_of(spark, f"{flat}.{name}") is None
     assert tables._swap_of(spark, f"{flat}.{name}_pre_partition_backup") is None
+
+
+# --- runs of dates -----------------------------------------------------------------
+
+
+def test_runs_hold_every_date_once():
+    counts = {D3: 5, D1: 2, D2: 2, None: 1, date(2026, 8, 1): 90}
+    runs = tables.date_runs(counts, 4)
+    assert runs == [[None, D1, D2, D3], [date(2026, 8, 1)]]
+    assert tables.date_runs(counts, 100) == [[None, D1, D2, D3, date(2026, 8, 1)]]
+    assert tables.date_runs({}, 4) == []
+
+
+def test_runs_are_bounded_in_number_and_size():
+    counts = {D1 + timedelta(days=n): 1 + n % 3 for n in range(1000)}
+    runs = tables.date_runs(counts, 10)
+    assert [day for run in runs for day in run] == sorted(counts)
+    assert len(runs) <= 9 and max(sum(counts[day] for day in run) for run in runs) <= 251
+
+
+def test_repartition_in_runs_keeps_all_rows(spark, table, monkeypatch):
+    database = table.split(".")[0]
+    rows = [(day, i, i % 3) for day in (D1, D2, D3, None) for i in range(50)] + [(D2, 7, 1)] * 2
+    spark.createDataFrame(rows, SCHEMA).write.saveAsTable(f"{database}.flat")
+    monkeypatch.setattr(tables, "_ROWS_PER_RUN", 60)
+    written = []
+    hint = tables._rebalance
+    monkeypatch.setattr(tables, "_rebalance", lambda df, column: written.append(1) or hint(df, column))
+    assert tables.repartition_by_date(spark, database, "flat", "extracted_date", ["station_id"])
+    assert len(written) == 4
+    found = spark.table(f"{database}.flat").select("extracted_date", "station_id", "nb_bikes").collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, rows))
+
+
+def test_loads_and_copies_are_compressed_well(spark, table):
+    database = table.split(".")[0]
+    replace(batch(spark, 3, D1), table, D1)
+    batch(spark, 3, D1).write.saveAsTable(f"{database}.flat")
+    tables.repartition_by_date(spark, database, "flat", "extracted_date", ["station_id"])
+    for name in (table, f"{database}.flat"):
+        assert all(file.endswith(".zstd.parquet") for file in spark.table(name).inputFiles())
