@@ -6,9 +6,13 @@ from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
-from checks import fixtures, warehouse
+from checks import fixtures, queries, warehouse
+from tests.plans import formatted_plan
 from tidemark import schemas
+from tidemark.operators import tables
 from tidemark.session import delete_folder, scratch_folder, shuffles_freed
 
 FIRST = datetime(2024, 1, 1, 3)
@@ -87,3 +91,38 @@ def _files(manager):
     files = manager.getAllFiles().iterator()
     while files.hasNext():
         yield files.next()
+
+
+@pytest.mark.parametrize("name", ["bronze_line_status", "gold_hourly_bike_summary"])
+def test_misplaced_rows_are_counted(spark, database, tmp_path, name):
+    table = schemas.TABLES[name]
+    tables.ensure_tables(spark, database, f"{tmp_path}/{database}")
+    fields = {field.name: field.dataType for field in table.schema}
+    number = F.col("id")
+    values = {
+        key: F.when(number % 11 == 3, None).otherwise((number * 7919 % 101)).cast(fields[key])
+        for key in table.sort_columns
+    } | {table.date_column: F.date_add(F.lit(date(2024, 1, 1)), (number % 3).cast("int"))}
+    rows = spark.range(0, 40_000, 1, 4).select(
+        *(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in spark.table(f"{database}.{name}").schema)
+    )
+    rows.write.insertInto(f"{database}.{name}")
+    found = queries._misplaced(spark, database, table)
+    before = F.lag("key").over(Window.partitionBy("file_path").orderBy("row_index"))
+    wanted = (
+        spark.table(f"{database}.{name}")
+        .select(F.struct(*table.sort_columns).alias("key"), "_metadata.file_path", "_metadata.row_index")
+        .withColumn("before", before)
+        .agg(F.count("*"), F.count_if(F.col("key") < F.col("before")))
+        .first()
+    )
+    assert tuple(found.first()) == (name, *wanted)
+    assert wanted[0] == 40_000 and wanted[1] > 1_000
+    # Only stretches are shuffled.
+    tree = formatted_plan(found).split("\n\n")[0]
+    assert tree.rindex("Exchange") < tree.index("MapInArrow")
+
+
+def test_row_order_of_an_empty_table(spark, database, tmp_path):
+    tables.ensure_tables(spark, database, f"{tmp_path}/{database}")
+    assert tuple(queries._misplaced(spark, database, schemas.GOLD_DAILY_AIR).first()) == ("gold_daily_air_quality", 0, 0)
