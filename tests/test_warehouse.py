@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -70,6 +71,56 @@ def test_documents_are_landed_compressed(spark, events):
     delete_folder(spark, landing)
 
 
+def test_events_are_shuffled_and_not_their_documents(spark, events):
+    """The documents are made above the only shuffle, and stand by date, so that the writer sorts none."""
+    for documents in warehouse.documents_by_date(spark, events, [date(2024, 1, 2), date(2024, 1, 3)]).values():
+        plan = documents._jdf.queryExecution().optimizedPlan()
+        tree = plan.toString()
+        assert tree.count("RepartitionByExpression") == 1
+        assert tree.index(" AS payload") < tree.index("RepartitionByExpression")
+        assert [order.child().name() for order in _each(plan.outputOrdering())] == ["date"]
+        assert documents.count() == 200
+
+
+def _each(sequence):
+    return [sequence.apply(i) for i in range(sequence.size())]
+
+
+def test_runs_do_not_grow_with_the_number_of_dates(spark, monkeypatch):
+    """Twenty dates of a hundred events are landed one by one, where each fills a run."""
+    counts = {date(2024, 1, 1) + timedelta(days=i): 100 for i in range(20)}
+    landed = []
+    monkeypatch.setattr(warehouse, "event_counts", lambda spark, sf_dir: counts)
+    monkeypatch.setattr(warehouse, "land", lambda spark, sf_dir, landing, dates: landed.append(dates) or landing)
+    monkeypatch.setattr(warehouse, "fill", lambda *arguments: None)
+    monkeypatch.setattr(warehouse, "EVENTS_PER_RUN", 100)
+    built = warehouse.build(spark, "nowhere")
+    assert landed == [[day] for day in built.dates] and len(landed) == 20
+
+
+def test_station_columns_are_stored_as_differences(spark, database, tmp_path):
+    """Sorted stations take no dictionary, and nulls, repeats and texts of any kind are read back."""
+    tables.ensure_tables(spark, database, f"{tmp_path}/{database}")
+    table, number = schemas.GOLD_DAILY_BIKE, F.col("id")
+    values = {
+        "station_id": (number % 30_000).cast("int"), "name": F.concat(F.lit("Ä "), (number % 30_000).cast("string")),
+        "lat": 51 + (number % 30_000) / 1000.0, "lon": -(number % 30_000) / 1000.0, "summary_date": F.lit(FIRST.date()),
+    }
+    fields = table.schema.fields
+    rows = spark.range(60_000).select(
+        *(values.get(f.name, F.lit(7)).cast(f.dataType).alias(f.name) for f in fields)
+    ).withColumn("name", F.when(F.col("station_id") % 7 != 3, F.col("name")))
+    name = tables.qualified(database, table.name)
+    tables.replace_dates(rows, name, "summary_date", [FIRST.date()], table.sort_columns)
+    assert spark.table(name).select(*table.columns).exceptAll(rows).isEmpty() and spark.table(name).count() == 60_000
+    (file,) = (Path(f.removeprefix("file:")) for f in spark.table(name).inputFiles())
+    group = pq.ParquetFile(file).metadata.row_group(0)
+    encodings = {group.column(i).path_in_schema: set(group.column(i).encodings) for i in range(group.num_columns)}
+    assert "DELTA_BINARY_PACKED" in encodings["station_id"] and "DELTA_BYTE_ARRAY" in encodings["name"]
+    dictionaries = {key for key, found in encodings.items() if any("DICTIONARY" in e for e in found)}
+    assert not dictionaries & {"station_id", "name", "lat", "lon"} and "total_snapshots" in dictionaries
+
+
 def test_shuffles_are_freed(spark, tmp_path):
     """Blocks of a shuffle are gone when its query has ended, and the setting is as before."""
     manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
