@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 from pathlib import Path
+from time import sleep
 
 import pyarrow.parquet as pq
 import pytest
@@ -14,6 +15,7 @@ from checks import fixtures, queries, warehouse
 from tests.plans import formatted_plan
 from tidemark import schemas
 from tidemark.operators import tables
+from tidemark.plans import job
 from tidemark.session import delete_folder, scratch_folder, shuffles_freed
 
 FIRST = datetime(2024, 1, 1, 3)
@@ -59,6 +61,74 @@ def test_runs_of_dates_give_the_same_tables_and_leave_no_documents(spark, events
     assert set(kept.rglob("*.json*")) == before
 
 
+def test_documents_are_gone_before_gold_is_built(spark, events, monkeypatch):
+    monkeypatch.setattr(warehouse, "MIN_RECORDS", dict.fromkeys(schemas.DATASETS, 1))
+    kept, build_gold, seen = Path(spark.conf.get("spark.checkpoint.dir")), job.build_gold, []
+    before = set(kept.rglob("*.json*"))
+
+    def looked_at(*arguments):
+        seen.append(set(kept.rglob("*.json*")) - before)
+        return build_gold(*arguments)
+
+    monkeypatch.setattr(job, "build_gold", looked_at)
+    built = warehouse.build(spark, events)
+    assert seen == [set()]
+    assert built.table(spark, schemas.GOLD_DAILY_BIKE).count() > 0
+
+
+def test_tables_of_stations_are_built_one_after_the_other(spark, events, monkeypatch):
+    monkeypatch.setattr(warehouse, "MIN_RECORDS", dict.fromkeys(schemas.DATASETS, 1))
+    load_table, running, most = tables.load_table, [], []
+
+    def watched(df, database, table, dates):
+        stations = "station_id" in table.columns
+        if stations:
+            running.append(table.name)
+            most.append(len(running))
+            sleep(0.5)
+        load_table(df, database, table, dates)
+        if stations:
+            running.remove(table.name)
+
+    monkeypatch.setattr(tables, "load_table", watched)
+    warehouse.build(spark, events)
+    assert most == [1, 1]
+
+
+@pytest.mark.parametrize("table", [schemas.GOLD_DAILY_BIKE, schemas.GOLD_HOURLY_BIKE], ids=lambda table: table.name)
+def test_files_of_a_heavy_date_hold_ranges_of_keys(spark, database, tmp_path, table):
+    """Rows that an aggregate has dealt out by hash are written by key, so that neighbours stand in one file."""
+    tables.ensure_tables(spark, database, f"{tmp_path}/{database}")
+    days, number = [FIRST.date(), date(2024, 1, 2)], F.col("id")
+    # The second day is light.
+    values = {
+        "summary_date": F.when(number < 50, F.lit(days[1])).otherwise(F.lit(days[0])), "summary_hour": number % 2 * 8,
+        "station_id": (number / 2).cast("int"), "name": F.concat(F.lit("Stop "), number.cast("string")),
+    }
+    rows = spark.range(60_000).select(
+        *(values.get(f.name, F.hash("id")).cast(f.dataType).alias(f.name) for f in table.schema)
+    ).repartition(8, "name")
+    sizes = [f"spark.sql.adaptive.{name}" for name in ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize")]
+    old = {size: spark.conf.get(size) for size in sizes}
+    try:
+        for size in sizes:
+            spark.conf.set(size, "256k")
+        tables.load_table(rows, database, table, days)
+    finally:
+        for size, value in old.items():
+            spark.conf.set(size, value)
+    found = spark.table(tables.qualified(database, table.name))
+    assert found.select(*rows.columns).exceptAll(rows).isEmpty() and found.count() == 60_000
+    key = F.struct(*table.sort_columns)
+    ranges = (
+        found.groupBy("summary_date", "_metadata.file_path").agg(F.min(key).alias("first"), F.max(key).alias("last"))
+        .orderBy("summary_date", "first").collect()
+    )
+    heavy = [row for row in ranges if row.summary_date == days[0]]
+    assert len(heavy) >= 2 and len(ranges) - len(heavy) == 1
+    assert all(one.last < other.first for one, other in zip(heavy, heavy[1:]))
+
+
 def test_documents_are_landed_compressed(spark, events):
     landing = warehouse.land(spark, events, f"{scratch_folder(spark)}/landing", [date(2024, 1, 2)])
     files = [file for file in Path(landing).rglob("*.json*") if file.suffix != ".crc"]
