@@ -130,6 +130,18 @@ def test_files_are_sorted_by_key(spark, table, tmp_path):
         assert ids == sorted(ids)
 
 
+def test_equal_keys_are_sorted_by_the_other_columns(spark, table, tmp_path):
+    """Rows of one key stand by their values, nulls first, so that equal ones are neighbours; none is lost."""
+    rows = spark.range(3_000).select(
+        F.lit(D1).alias("extracted_date"), (F.col("id") % 7).cast("int").alias("station_id"),
+        F.when(F.col("id") % 5 != 0, F.col("id") * 7919 % 11).cast("int").alias("nb_bikes"))
+    replace(rows, table, D1)
+    (file,) = files(tmp_path, D1)
+    found = [(r.station_id, -1 if r.nb_bikes is None else r.nb_bikes) for r in spark.read.parquet(str(file)).collect()]
+    assert found == sorted(found) and len(found) == 3_000
+    assert spark.table(table).select(*rows.columns).exceptAll(rows).isEmpty()
+
+
 # --- warehouse ---------------------------------------------------------------
 
 
