@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,6 +143,22 @@ def test_equal_keys_are_sorted_by_the_other_columns(spark, table, tmp_path):
     assert spark.table(table).select(*rows.columns).exceptAll(rows).isEmpty()
 
 
+def test_neighbours_in_the_sort_share_a_page(spark, table, tmp_path):
+    """A page is compressed by itself: with 20,000 rows in each, values that recur later take their room again."""
+    rows = spark.range(0, 200_000, 1, 1).select(
+        F.lit(D1).alias("extracted_date"), F.col("id").cast("int").alias("station_id"),
+        F.hash(F.col("id") % 30_000).alias("nb_bikes"))
+    replace(rows, table, D1)
+    (file,) = files(tmp_path, D1)
+    small = rows.drop("extracted_date").write.option("compression", "zstd").option("parquet.writer.version", "v2")
+    small.parquet(f"{tmp_path}/small_pages")
+    (other,) = Path(f"{tmp_path}/small_pages").glob("*.parquet")
+    here, there = (pq.ParquetFile(f).metadata.row_group(0).column(1) for f in (file, other))
+    assert here.path_in_schema == there.path_in_schema == "nb_bikes"
+    assert here.total_compressed_size < 0.6 * there.total_compressed_size
+    assert spark.table(table).select(*rows.columns).exceptAll(rows).isEmpty() and spark.table(table).count() == 200_000
+
+
 # --- warehouse ---------------------------------------------------------------
 
 
