@@ -397,6 +397,17 @@ def test_counts_come_from_footers_of_both_layouts(spark, flat):
         assert "PushedAggregation: [COUNT(*)]" in plan and "PushedGroupBy: [extracted_date" in plan
 
 
+def test_answers_of_the_catalog_take_no_job(spark, table):
+    replace(batch(spark, 4, D3, D1), table, D1, D3)
+    spark.sparkContext.setJobGroup("catalog", "answers")
+    try:
+        assert tables.partition_dates(spark, table, "extracted_date") == [D1, D3]
+        assert tables._location(spark, table).endswith("/t")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("catalog")
+
+
 def test_latest_date_reads_nothing(spark, database, tmp_path):
     tables.ensure_tables(spark, database, f"{tmp_path}/db")
     table = schemas.BRONZE_AIR_QUALITY
