@@ -76,6 +76,17 @@ def test_documents_are_gone_before_gold_is_built(spark, events, monkeypatch):
     assert built.table(spark, schemas.GOLD_DAILY_BIKE).count() > 0
 
 
+def test_replacing_dates_needs_no_stored_tables(spark, events, monkeypatch):
+    def build(*arguments):
+        raise AssertionError("the stored tables are not read")
+
+    monkeypatch.setattr(queries, "warehouse", build)
+    found = queries.replace_dates(spark, events).groupBy("extracted_date").agg(F.count("*").alias("n"), F.min("nb_bikes").alias("least"))
+    assert {row.extracted_date.day: (row.n, row.least >= 1000) for row in found.collect()} == {
+        1: (100, False), 2: (100, True), 3: (100, False), 4: (100, True), 5: (100, False)
+    }
+
+
 def test_tables_of_stations_are_built_one_after_the_other(spark, events, monkeypatch):
     monkeypatch.setattr(warehouse, "MIN_RECORDS", dict.fromkeys(schemas.DATASETS, 1))
     load_table, running, most = tables.load_table, [], []
