@@ -168,3 +168,20 @@ def test_required(spark):
     assert one(spark, [1], "int", tf.required(F.col("v"), "v is NULL")) == [1]
     with pytest.raises(Exception, match="v is NULL"):
         one(spark, [None], "int", tf.required(F.col("v"), "v is NULL"))
+
+
+def test_utc_date_and_hour_match_the_calendar(spark):
+    """Also before 1970, in the last microsecond of a day, and for the first and last years."""
+    days = ["0001-01-01", "1582-10-04", "1582-10-15", "1899-12-31", "1969-12-31", "1970-01-01", "2024-02-29", "9999-12-31"]
+    texts = [f"{day} {time}" for day in days for time in ("00:00:00", "00:59:59.999999", "12:00:00.000001", "23:59:59.999999")]
+    instant = F.col("v").cast("timestamp")
+    found = evaluate(spark, [*texts, None], "string", tf.utc_date(instant), tf.utc_hour(instant), F.to_date(instant), F.hour(instant))
+    assert [(row.e0, row.e1) for row in found] == [(row.e2, row.e3) for row in found]
+    assert found[-1].e0 is None and len(found) == len(texts) + 1
+
+
+def test_texts_with_plain_ends(spark):
+    values = ["  a b  ", " \ta ", "a", "~!", " \x7fa ", "", "   ", " x ", " é", "ḱ -x", "o'neill  st-pancras\t2nd", None]
+    values += ["a" + chr(c) + "b" + chr(c) + chr(c) + "C " for c in range(128)]
+    assert one(spark, values, "string", tf.strip(F.col("v"))) == [None if v is None else v.strip() for v in values]
+    assert one(spark, values, "string", tf.title_case(F.col("v"))) == [None if v is None else v.title() for v in values]

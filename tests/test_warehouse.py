@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 from pathlib import Path
+from threading import Event
 from time import sleep
 
 import pyarrow.parquet as pq
@@ -76,6 +77,64 @@ def test_documents_are_gone_before_gold_is_built(spark, events, monkeypatch):
     assert built.table(spark, schemas.GOLD_DAILY_BIKE).count() > 0
 
 
+def test_next_run_is_landed_while_one_is_loaded(spark, monkeypatch):
+    counts = {date(2024, 1, 1) + timedelta(days=i): 100 for i in range(3)}
+    begun, loaded = [Event() for _ in counts], []
+
+    def land(spark, sf_dir, landing, dates):
+        begun[int(landing.rsplit("-", 1)[1])].set()
+        return landing
+
+    def fill(spark, landing, *arguments):
+        number = int(landing.rsplit("-", 1)[1])
+        # Never more than one run ahead.
+        loaded.append((all(event.wait(60) for event in begun[: number + 2]), any(event.is_set() for event in begun[number + 2 :])))
+
+    monkeypatch.setattr(warehouse, "event_counts", lambda spark, sf_dir: counts)
+    monkeypatch.setattr(warehouse, "land", land)
+    monkeypatch.setattr(warehouse, "fill", fill)
+    monkeypatch.setattr(warehouse, "EVENTS_PER_RUN", 100)
+    warehouse.build(spark, "nowhere")
+    assert loaded == [(True, False)] * 3
+
+
+def test_events_are_read_once_for_all_documents_of_a_run(spark, events, tmp_path, monkeypatch):
+    read, documents_by_date = [], warehouse.documents_by_date
+
+    def seen(*arguments):
+        documents = documents_by_date(*arguments)
+        read.extend(file for frame in documents.values() for file in frame.inputFiles())
+        return documents
+
+    monkeypatch.setattr(warehouse, "documents_by_date", seen)
+    landing = warehouse.land(spark, events, f"{tmp_path}/landing", [date(2024, 1, 2), date(2024, 1, 4)])
+    assert read and not any(file.startswith(f"file:{events}") for file in read)
+    for dataset in schemas.DATASETS:
+        found = spark.read.json(f"{landing}/{dataset}").groupBy("date").count().collect()
+        assert {str(row.date): row["count"] for row in found} == {"2024-01-02": 100, "2024-01-04": 100}
+    # The events of the run are gone.
+    assert [path.name for path in tmp_path.iterdir()] == ["landing"]
+
+
+def test_station_documents_are_the_json_of_their_structs(spark, tmp_path):
+    """Put together as text where no value is null, and with members left out where one is."""
+    rows = [(1, FIRST, 7, "a", 12.5, '{"k": 3}'), (2, FIRST, None, "a", 1.0, '{"k": 39}'), (3, FIRST, 89_999, "a", None, '{"k": 0}'),
+            (4, FIRST, 0, "a", 490.02, "{}"), (5, FIRST, 10**9, "a", 44.9, '{"k": 99}')]
+    spark.createDataFrame(rows, EVENTS).write.parquet(f"{tmp_path}/events.parquet")
+    found = {row.page: row.payload for row in fixtures.landed_documents(spark, str(tmp_path))["bike_points"].collect()}
+    kind = "array<struct<id string, commonName string, lat double, lon double, additionalProperties array<struct<key string, value string>>>>"
+    again = spark.createDataFrame(list(found.items()), "page long, payload string").select(
+        "page", F.to_json(F.from_json("payload", kind)).alias("payload")
+    )
+    assert {row.page: row.payload for row in again.collect()} == found and len(found) == 5
+    assert found[1].startswith(
+        '[{"id":"BikePoints_84","commonName":"Stop 84 ","lat":51.084,"lon":-0.084,"additionalProperties":'
+        '[{"key":"NbBikes","value":"12"},{"key":"NbEmptyDocks","value":"0"},{"key":"NbDocks","value":"3"}]},{"id":"BikePoints_85",'
+    )
+    assert found[2].startswith('[{"additionalProperties":[{"key":"NbBikes","value":"1"}')
+    assert found[3].count('{"key":"NbBikes"}') == 12 and found[4].count('{"key":"NbDocks"}') == 12
+
+
 def test_replacing_dates_needs_no_stored_tables(spark, events, monkeypatch):
     def build(*arguments):
         raise AssertionError("the stored tables are not read")
